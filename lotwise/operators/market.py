@@ -84,7 +84,8 @@ def location_options(matches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def default_power(view: DataFrame) -> DataFrame:
     """Median power per brand, model and trim, cut to a whole number, 150 when there is none."""
-    keyed = view.where(F.col("title").isNotNull()).select(
+    named = F.col("title").isNotNull() & F.col("brand").isNotNull() & F.col("model").isNotNull()
+    keyed = view.where(named).select(
         "brand", "model",
         F.lower(title_without_brand(F.col("title"), F.col("brand"))).alias("trim"),
         F.when(F.col("power_ps") > 0, F.col("power_ps")).alias("power"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotwise.operators import loading
 from lotwise.operators.cleaning_de import clean_de
@@ -44,26 +45,27 @@ def load(
     """Assign ids, write parent and child tables below ``root`` and check their counts.
 
     ``cleaned`` should be a written table: ids are assigned from its positions, and parent and child
-    both read it.
+    both read it. All markets share ``root/listings``, partitioned by market; a load replaces its own
+    partition only, so it can be repeated.
     """
     code = _code(market)
     rows = loading.prepare_de(cleaned) if code == "DE" else cleaned
-    rows = write_table(assign_ids(rows, base), f"{root}/numbered")
+    rows = write_table(assign_ids(rows, base), f"{root}/numbered_{code.lower()}")
     parent, child = (
         (loading.listings_de(rows, dataset_id, **overrides), loading.details_de(rows))
         if code == "DE"
         else (loading.listings_us(rows, dataset_id, **overrides), loading.details_us(rows))
     )
     listings = write_table(parent, f"{root}/listings", "market")
-    check_row_count(cleaned, listings)
+    check_row_count(cleaned, listings.where(F.col("market") == overrides.get("market", code)))
     return Store(listings, write_table(child, f"{root}/listing_{code.lower()}"))
 
 
 def run(
-    spark: SparkSession, raw: DataFrame, market: str, root: str, dataset_id: int, as_of: str | None = None,
+    raw: DataFrame, market: str, root: str, dataset_id: int, as_of: str | None = None,
     order: tuple[str, ...] = ("row_pos",), base: int = 0,
 ) -> Store:
     """Raw rows to stored tables: clean, write, number, load."""
-    cleaned = write_table(clean(raw, market, as_of, order), f"{root}/cleaned")
+    cleaned = write_table(clean(raw, market, as_of, order), f"{root}/cleaned_{_code(market).lower()}")
     require_rows(cleaned, "no listing is left after cleaning")
     return load(cleaned, market, root, dataset_id, base)

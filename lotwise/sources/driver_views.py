@@ -142,3 +142,85 @@ def raw_us(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{flag.format('(k + 11) % 14')} AS wholesaleListing",
         "'x' AS unknown_extra",
     )
+
+
+def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(listing_id, ai_features)``: one document per text, most of them nested JSON around the whole text."""
+    history = (
+        "named_struct("
+        "'TÜV', CASE doc_id % 3 WHEN 0 THEN 'HU/AU neu' WHEN 1 THEN 'abgelaufen' ELSE ' GÜLTIG ' END, "
+        "'Scheckheft', CASE doc_id % 4 WHEN 0 THEN 'Lückenlos' WHEN 1 THEN 'nein' ELSE '' END, "
+        "'Bereifung', CASE doc_id % 5 WHEN 0 THEN '8-fach' WHEN 1 THEN 'Winter und Sommer' "
+        "WHEN 2 THEN 'Allwetterreifen' ELSE 'Sommer' END, "
+        "'Garantie', CASE doc_id % 7 WHEN 0 THEN '24 Monate' WHEN 1 THEN '12' ELSE 'keine' END, "
+        "'Unfallfrei', doc_id % 2 = 0, "
+        "'Mängel', CASE doc_id % 6 WHEN 0 THEN 'Keine' WHEN 1 THEN 'Steinschlag' WHEN 2 THEN 'false' ELSE 'Delle' END)"
+    )
+    equipment = (
+        "named_struct('Distronic', doc_id % 5 < 2, 'Paket', CASE doc_id % 8 WHEN 0 THEN 'AMG Line' "
+        "WHEN 1 THEN 'Burmester Surround' WHEN 2 THEN 'Thermotronic' WHEN 3 THEN 'nein' ELSE 'Thermatic' END)"
+    )
+    nested = f"to_json(named_struct('historie', {history}, 'ausstattung', {equipment}, 'liste', array(1, 2), 'notiz', text))"
+    literal = r"{\'TÜV\': \'neu\', \'Unfallfrei\': true, \'Garantie\': \'6 Monate\', \'Pano\': null, \'Extras\': [1]}"
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id + 1 AS listing_id",
+        "CASE doc_id % 12 WHEN 0 THEN NULL WHEN 1 THEN concat('not valid json ', text) WHEN 2 THEN '[1, 2]' "
+        f"WHEN 3 THEN '{literal}' ELSE {nested} END AS ai_features",
+    )
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(listing_id, raw_output)``: objects with text around them, cut objects, and no object at all."""
+    document = "to_json(named_struct('role', role, 'text', text))"
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id * 1000 + turn AS listing_id",
+        f"CASE (conv_id + turn) % 4 WHEN 0 THEN concat('Hier: ', {document}, ' fertig') "
+        f"WHEN 1 THEN substr({document}, 1, length({document}) - 1) "
+        f"WHEN 2 THEN concat({document}, ' und {{mehr}}') ELSE {document} END AS raw_output",
+    )
+
+
+def vehicle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_pos, json)``: nested vehicle records with ragged keys."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS row_pos",
+        "concat('{\"vin\": ', CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '\"\"' "
+        "ELSE concat('\"V', CAST(user_id AS STRING), '\"') END, "
+        "', \"price\": ', CAST(CAST(floor(value * 100) AS BIGINT) AS STRING), "
+        "', \"vehicle\": {\"make\": \"', event_type, '\", \"props\": ', props, '}', "
+        "CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN concat(', \"history\": {\"ownerCount\": ', "
+        "CAST(event_id % 4 AS STRING), ', \"accidentCount\": 1}') WHEN event_id % 2 = 0 THEN ', \"history\": null' "
+        "ELSE ', \"history\": {\"ownerCount\": null, \"accidentCount\": 2}' END, "
+        "', \"tags\": [\"ü\", \"', event_type, '\"], \"empty\": {}', "
+        "CASE WHEN event_id % 5 = 0 THEN ', \"color\": \"blau\"' ELSE '' END, '}') AS json",
+    )
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given web pages with a car advert placed at the head of each article."""
+    n = "CAST(page_id AS STRING)"
+    advert = (
+        "concat('<article><div data-testid=\"prime-price\">', "
+        "CASE WHEN page_id % 2 = 0 THEN concat(CAST(10 + page_id % 80 AS STRING), '.500 €') ELSE '' END, '</div>', "
+        "'<p>ab 99 € mtl.</p><p>Preis ', CAST(10 + page_id % 80 AS STRING), '.900 € brutto</p>', "
+        "'<ul><li>', CAST(1 + page_id % 200 AS STRING), CASE WHEN page_id % 5 = 0 THEN '.000 KM' ELSE '.000 km' END, '</li><li>', "
+        "CASE page_id % 3 WHEN 0 THEN 'EZ 03/2015' WHEN 1 THEN 'Erstzulassung: 11/2019' ELSE 'seit 07/2012' END, "
+        "'</li><li>110 kW (', CAST(90 + page_id % 100 AS STRING), '&nbsp;PS)</li><li>', "
+        "CASE page_id % 3 WHEN 0 THEN 'Automatik' WHEN 1 THEN 'Schaltgetriebe' ELSE 'CVT' END, '</li><li>', "
+        "CASE page_id % 4 WHEN 0 THEN 'Benzin' WHEN 1 THEN 'Diesel' WHEN 2 THEN 'Autogas (LPG)' ELSE 'Wasser' END, "
+        "'</li><li>Fahrzeughalter: <b>', CAST(page_id % 5 AS STRING), '</b></li></ul>', "
+        "'<div>DE-', lpad(CAST(page_id % 100000 AS STRING), 5, '0'), ' Bad Musterstadt | Karte</div>', "
+        "'<h3>Ausstattung</h3><ul><li>ABS</li><li>Klima</li><li>x</li><li>ABS</li><li>Paket ', CAST(page_id % 9 AS STRING), "
+        "'</li></ul><h3> Fahrzeugbeschreibung laut Anbieter </h3><p>Zustand &amp; mehr</p><p>Nr. ', "
+        f"{n}, '</p><p>Zustand &amp; mehr</p><h3>Händler</h3>', "
+        f"'<a href=\"/fahrzeuge/details.html?id=', CAST(page_id % 100 AS STRING), '&amp;ref=a', {n}, '\">1</a>', "
+        f"'<a href=\"https://other.example.com/fahrzeuge/details.html?id=', {n}, '\">2</a>', "
+        f"'<a href=\"/fahrzeuge/details.html\">3</a>')"
+    )
+    head = (
+        "CASE WHEN page_id % 3 = 0 THEN concat('<head><meta property=\"og:title\" content=\"Marke Modell ', "
+        f"{n}, ' für 12.345 € bei uns\">') ELSE '<head>' END"
+    )
+    return table(spark, sf_dir, "pages").selectExpr(
+        "page_id", "url", f"replace(replace(html, '<head>', {head}), '<article>', {advert}) AS html"
+    )

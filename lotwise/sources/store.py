@@ -13,6 +13,10 @@ from lotwise.operators.columns import ragged_union
 from lotwise.operators.dedup import keep_first
 
 
+# the CSV writer would trim fields by default
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def cleaned_path(input_path: str, out_dir: str) -> str:
     """``<out_dir>/cleaned_<input name>``"""
     return f"{out_dir.rstrip('/')}/cleaned_{os.path.basename(input_path.rstrip('/'))}"
@@ -22,7 +26,7 @@ def write_cleaned(df: DataFrame, input_path: str, out_dir: str, fmt: str = "parq
     path = cleaned_path(input_path, out_dir)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.options(**_CSV).csv(path)
     else:
         writer.parquet(path)
     return path
@@ -30,18 +34,20 @@ def write_cleaned(df: DataFrame, input_path: str, out_dir: str, fmt: str = "parq
 
 def append_csv(df: DataFrame, path: str) -> None:
     """Append rows; every part file has its own header, so readers see one header per file."""
-    df.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("append").options(**_CSV).csv(path)
 
 
 def write_ragged_csv(frames: Sequence[DataFrame], path: str) -> None:
     """Rows of frames with different columns under one sorted header; absent cells are empty."""
-    ragged_union(frames).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    ragged_union(frames).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write Parquet and hand back a scan of it."""
+    """Write Parquet and hand back a scan of it; a partitioned table keeps its other partitions."""
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -74,7 +80,7 @@ def write_snapshot(df: DataFrame, root: str, now: datetime | None = None) -> str
     """Write under ``run_ts=<yyyyMMdd_HHmmss>`` so that each run keeps its own copy."""
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
     path = f"{root.rstrip('/')}/run_ts={stamp}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
     return path
 
 
