@@ -17,8 +17,13 @@ NBSP = "\u00a0"
 
 
 def strip(c: Column) -> Column:
-    """Trim every Unicode blank; ``F.trim`` knows U+0020 only."""
-    return F.btrim(c, F.lit(BLANKS))
+    """Trim every Unicode blank; ``F.trim`` knows U+0020 only.
+
+    Trimming by a character set walks the whole text, so text with plain characters at both ends is
+    passed on as it is.
+    """
+    plain_ends = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    return F.when(plain_ends, c).otherwise(F.btrim(c, F.lit(BLANKS)))
 
 
 def collapse_blanks(c: Column) -> Column:
@@ -70,8 +75,12 @@ def first_digits(c: Column) -> Column:
 
 
 def scrub_number(c: Column) -> Column:
-    """Keep digits, point and minus, then read a number."""
-    return to_number(F.regexp_replace(c, r"[^0-9.\-]", ""))
+    """Keep digits, point and minus, then read a number.
+
+    Text made of these characters alone, the usual case, needs no pattern at all.
+    """
+    clean = F.translate(c, "0123456789.-", "") == ""
+    return F.when(clean, c).otherwise(F.regexp_replace(c, r"[^0-9.\-]", "")).try_cast("double")
 
 
 def word_to_boolean(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM never compiles methods above 8000 bytes; wide cleaning stages run faster without fused code
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -37,6 +39,15 @@ def apply_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that arrives in fewer partitions than there are cores.
+
+    Large inputs have more splits than cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 

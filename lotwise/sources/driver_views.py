@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.session import spread
+
 US_ORDER = ("row_pos", "row_sub")
 
 
@@ -20,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, part and places; only the columns the views need."""
     t = lambda name: table(spark, sf_dir, name)
-    items = t("lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS ln", "l_partkey", "l_suppkey")
+    items = spread(t("lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS ln", "l_partkey", "l_suppkey"))
     orders = t("orders").selectExpr(
         "o_orderkey AS k", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
@@ -162,7 +164,7 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     nested = f"to_json(named_struct('historie', {history}, 'ausstattung', {equipment}, 'liste', array(1, 2), 'notiz', text))"
     literal = r"{\'TÜV\': \'neu\', \'Unfallfrei\': true, \'Garantie\': \'6 Monate\', \'Pano\': null, \'Extras\': [1]}"
-    return table(spark, sf_dir, "documents").selectExpr(
+    return spread(table(spark, sf_dir, "documents")).selectExpr(
         "doc_id + 1 AS listing_id",
         "CASE doc_id % 12 WHEN 0 THEN NULL WHEN 1 THEN concat('not valid json ', text) WHEN 2 THEN '[1, 2]' "
         f"WHEN 3 THEN '{literal}' ELSE {nested} END AS ai_features",
@@ -172,7 +174,7 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(listing_id, raw_output)``: objects with text around them, cut objects, and no object at all."""
     document = "to_json(named_struct('role', role, 'text', text))"
-    return table(spark, sf_dir, "conversations").selectExpr(
+    return spread(table(spark, sf_dir, "conversations")).selectExpr(
         "conv_id * 1000 + turn AS listing_id",
         f"CASE (conv_id + turn) % 4 WHEN 0 THEN concat('Hier: ', {document}, ' fertig') "
         f"WHEN 1 THEN substr({document}, 1, length({document}) - 1) "
@@ -182,7 +184,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vehicle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(row_pos, json)``: nested vehicle records with ragged keys."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id AS row_pos",
         "concat('{\"vin\": ', CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '\"\"' "
         "ELSE concat('\"V', CAST(user_id AS STRING), '\"') END, "
@@ -221,6 +223,6 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN page_id % 3 = 0 THEN concat('<head><meta property=\"og:title\" content=\"Marke Modell ', "
         f"{n}, ' für 12.345 € bei uns\">') ELSE '<head>' END"
     )
-    return table(spark, sf_dir, "pages").selectExpr(
+    return spread(table(spark, sf_dir, "pages")).selectExpr(
         "page_id", "url", f"replace(replace(html, '<head>', {head}), '<article>', {advert}) AS html"
     )
