@@ -67,14 +67,12 @@ def model_options(view: DataFrame) -> DataFrame:
 
 def trim_options(view: DataFrame) -> DataFrame:
     """Trims per brand and model, derived from titles; ``ordinal`` puts the "all" entry first."""
-    trims = (
-        view.where(F.col("title").isNotNull())
-        .select("brand", "model", title_without_brand(F.col("title"), F.col("brand")).alias("option"))
-        .where(F.col("option") != "")
-        .distinct()
+    trim = title_without_brand(F.col("title"), F.col("brand"))
+    entries = F.array(
+        F.struct(F.lit(V.ALL_TRIMS).alias("option"), F.lit(0).alias("ordinal")),
+        F.struct(trim.alias("option"), F.lit(1).alias("ordinal")),
     )
-    every = view.select("brand", "model").distinct().withColumn("option", F.lit(V.ALL_TRIMS))
-    return every.withColumn("ordinal", F.lit(0)).unionByName(trims.withColumn("ordinal", F.lit(1)))
+    return view.select("brand", "model", F.inline(entries)).where(F.col("option") != "").distinct()
 
 
 def location_options(matches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -113,22 +111,25 @@ def refined_options(
         "subject_id", "brand", "model",
         F.lower("fuel").alias("__fuel"), F.col("cylinders").cast("double").alias("__cyl"),
     )
-    # the distinct (model, fuel, cylinders, values) combinations are far fewer than the offers
+    wanted = wanted.withColumn("__asked", F.to_json(F.struct("brand", "model", "__fuel", "__cyl")))
+    # both sides shrink to distinct combinations first: however many subjects ask for a hot model and
+    # however many offers it has, only different questions meet different answers
+    questions = wanted.drop("subject_id").distinct()
     offers = view.select(
         "brand", "model", F.lower("fuel").alias("__f"), F.col("cylinders").cast("double").alias("__c"), *columns
     ).distinct()
-    seen = wanted.join(offers, ["brand", "model"]).select(
-        "subject_id",
+    seen = questions.join(offers, ["brand", "model"]).select(
+        "__asked",
         F.coalesce(F.col("__f") == F.col("__fuel"), F.lit(False)).alias("f"),
         F.coalesce(F.col("__c") == F.col("__cyl"), F.lit(False)).alias("c"),
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("option")) for c in columns])
         ).alias("o"),
     )
-    flags = seen.groupBy("subject_id", "o.field", "o.option").agg(
+    flags = seen.groupBy("__asked", "o.field", "o.option").agg(
         F.max("f").alias("f"), F.max("c").alias("c"), F.max(F.col("f") & F.col("c")).alias("fc")
     )
-    subject = flags.groupBy("subject_id").agg(
+    question = flags.groupBy("__asked").agg(
         F.max("f").alias("any_f"), F.max("c").alias("any_c"), F.max("fc").alias("any_fc")
     )
     keep = (
@@ -137,11 +138,12 @@ def refined_options(
         .when(F.col("any_c"), F.col("c"))
         .otherwise(F.lit(True))
     )
-    found = (
-        flags.join(subject, "subject_id").where(keep)
+    answers = (
+        flags.join(question, "__asked").where(keep)
         .where(F.col("option").isNotNull() & ~F.col("option").isin("", "nan"))
-        .select("subject_id", "field", "option")
+        .select("__asked", "field", "option")
     )
+    found = wanted.select("subject_id", "__asked").join(answers, "__asked").drop("__asked")
     fields = F.explode(F.array(*map(F.lit, columns)))
     asked = subjects.select("subject_id", "brand", "model", fields.alias("field"))
     missing = asked.join(found.select("subject_id", "field").distinct(), ["subject_id", "field"], "left_anti")
