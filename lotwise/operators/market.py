@@ -203,13 +203,39 @@ def _criteria(market: str, offer: Sequence[str], subject: Sequence[str]) -> list
     return terms
 
 
-def match_offers(view: DataFrame, subjects: DataFrame, market: str) -> DataFrame:
+HOT_ROWS = 5_000_000
+
+
+def hot_models(view: DataFrame, rows_per_slice: int = HOT_ROWS) -> DataFrame:
+    """Models with more offers than one task should take, and into how many slices they go.
+
+    There are at most (offers / ``rows_per_slice``) of them.
+    """
+    sizes = view.groupBy("brand", "model").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.where(F.col("n") > rows_per_slice).select(
+        "brand", "model", F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices")
+    )
+
+
+def _sliced(view: DataFrame, criteria: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Number the slices of hot models: an offer is in one slice, a subject asks every slice."""
+    small = F.broadcast(hot)  # bounded: see hot_models
+    slices = F.coalesce(F.col("slices"), F.lit(1))
+    offers = view.join(small, ["brand", "model"], "left").withColumn("__slice", F.pmod(F.xxhash64("id"), slices))
+    asked = criteria.join(
+        small.withColumnsRenamed({"brand": "want_brand", "model": "want_model"}), ["want_brand", "want_model"], "left"
+    ).withColumn("want_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), (slices - 1).cast("bigint"))))
+    return offers.select(*view.columns, "__slice"), asked.drop("slices")
+
+
+def match_offers(view: DataFrame, subjects: DataFrame, market: str, hot: DataFrame | None = None) -> DataFrame:
     """Offers that satisfy each subject's criteria, one row per subject and offer.
 
     ``subjects`` holds ``subject_id, brand, model`` and any of the criteria under their plain names,
     plus ``location`` and, for DE, ``trim``. The equi-join on brand and model is Spark's to plan: the
-    subject side is broadcast only while it is below the broadcast threshold, else AQE splits hot
-    models. All criteria sit in the join condition.
+    subject side is broadcast only while it is below the broadcast threshold. ``hot`` (see
+    ``hot_models``) cuts large models into slices for the other case. All criteria sit in the join
+    condition.
     """
     criteria = subjects.select(
         "subject_id", *[F.col(c).alias(f"want_{c}") for c in subjects.columns if c != "subject_id"]
@@ -222,8 +248,12 @@ def match_offers(view: DataFrame, subjects: DataFrame, market: str) -> DataFrame
         view = view.withColumn("__trim", F.lower(title_without_brand(F.col("title"), F.col("brand"))))
         wanted = F.coalesce(F.col("want_trim"), F.lit(V.ALL_TRIMS))
         terms.append((wanted == V.ALL_TRIMS) | F.coalesce(F.col("__trim") == F.lower(wanted), F.lit(False)))
+    names = [c for c in criteria.columns if c != "subject_id"]
+    if hot is not None:
+        view, criteria = _sliced(view, criteria, hot)
+        terms.append(F.col("__slice") == F.col("want_slice"))
     matched = view.join(criteria, reduce(lambda a, b: a & b, terms))
-    return matched.drop("__trim", *[c for c in criteria.columns if c != "subject_id"])
+    return matched.drop("__trim", "__slice", "want_slice", *names)
 
 
 _SORTS = {"price": "price", "mileage": "mileage"}

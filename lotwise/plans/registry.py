@@ -449,6 +449,11 @@ def default_power(w: Workspace) -> DataFrame:
     return market.default_power(w.view_de)
 
 
+def _matches_de(w: Workspace) -> DataFrame:
+    hot = market.hot_models(market.market_view("DE", w.de.listings))
+    return market.match_offers(w.view_de, _buyers_de(w), "DE", hot)
+
+
 def _buyers_de(w: Workspace) -> DataFrame:
     """One buyer per model on offer, with bounds taken from its offers."""
     return w.view_de.where("model IS NOT NULL").groupBy("brand", "model").agg(
@@ -467,32 +472,32 @@ def _buyers_de(w: Workspace) -> DataFrame:
 
 @query
 def match_offers_de(w: Workspace) -> DataFrame:
-    return market.match_offers(w.view_de, _buyers_de(w), "DE").select("subject_id", "id", "price", "mileage")
+    return _matches_de(w).select("subject_id", "id", "price", "mileage")
 
 
 @query
 def match_offers_top(w: Workspace) -> DataFrame:
     """The twenty cheapest offers per buyer with their shown columns."""
-    best = market.best_offers(market.match_offers(w.view_de, _buyers_de(w), "DE"))
+    best = market.best_offers(_matches_de(w))
     return market.display_offers(best, ["subject_id", "offer_rank"])
 
 
 @query
 def match_offers_by_mileage(w: Workspace) -> DataFrame:
-    best = market.best_offers(market.match_offers(w.view_de, _buyers_de(w), "DE"), "mileage", False, 30)
+    best = market.best_offers(_matches_de(w), "mileage", False, 30)
     return best.select("subject_id", "offer_rank", "id", "mileage")
 
 
 @query
 def match_offers_all(w: Workspace) -> DataFrame:
     """All offers in order, and their places per buyer."""
-    best = market.best_offers(market.match_offers(w.view_de, _buyers_de(w), "DE"), limit=None)
+    best = market.best_offers(_matches_de(w), limit=None)
     return best.select("subject_id", "id", "location")
 
 
 @query
 def match_offer_counts(w: Workspace) -> DataFrame:
-    return market.offer_counts(market.match_offers(w.view_de, _buyers_de(w), "DE"))
+    return market.offer_counts(_matches_de(w))
 
 
 def _buyers_us(w: Workspace) -> DataFrame:
@@ -506,7 +511,8 @@ def _buyers_us(w: Workspace) -> DataFrame:
 @query
 def match_offers_us(w: Workspace) -> DataFrame:
     buyers = _buyers_us(w).withColumns({"trim": F.lit("unknown"), "engine": F.lit("unknown")})
-    return market.match_offers(w.view_us, buyers, "US").select("subject_id", "id", "cylinders", "fuel")
+    hot = market.hot_models(market.market_view("US", w.us.listings))
+    return market.match_offers(w.view_us, buyers, "US", hot).select("subject_id", "id", "cylinders", "fuel")
 
 
 @query

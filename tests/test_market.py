@@ -80,6 +80,11 @@ def test_match_offers_against_brute_force(spark):
     o, w = [r.asDict() for r in view.collect()], [r.asDict() for r in subjects.collect()]
     want = {(s["subject_id"], x["id"]) for s in w for x in o if brute_match(x, s)}
     assert {(r["subject_id"], r["id"]) for r in matched.collect()} == want
+    hot = M.hot_models(view, 20)
+    assert max(values(hot, "slices")) > 5
+    sliced = M.match_offers(view, subjects, "DE", hot)
+    assert sliced.columns == matched.columns
+    assert sorted((r["subject_id"], r["id"]) for r in sliced.collect()) == sorted(want)
     for ascending in (True, False):
         best = M.best_offers(matched, "price", ascending, 4).collect()
         price = {x["id"]: x["price"] for x in o}
