@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, packing
+from lotwise.llm import bpe, chat, ngram_join, packing
 from lotwise.llm.common import hex_digest, table, text_or_empty
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -58,6 +58,11 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.with_smallest_key(ngram_join.linked_classes(docs, words=4, percent=85))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = packing.write_packed(docs, public_tokenizers.path(WORD_VOCABULARY), end_id=END_ID)
@@ -65,6 +70,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_bpe, op3_chat, op10_packing)
+    fn.__name__: fn for fn in (op1_bpe, op3_chat, op8_ngram_join, op10_packing)
 }
 ORACLES: dict[str, str] = {}
