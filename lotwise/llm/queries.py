@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, ngram_join, packing
-from lotwise.llm.common import hex_digest, table, text_or_empty
+from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, quality
+from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
+#: no source's tokens are used more often than this
+REPEATS = 3.0
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,28 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of every document, in the permutation of its source's blocks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("n_tokens"))
+    weights = mixing.temperature_weights(mixing.source_shares(docs), repeats=REPEATS)
+    used = mixing.permuted(mixing.uses(mixing.copies(docs, weights)))
+    return used.select("doc_id", "source", "n_tokens", "copies", "epoch", "block", "place", "block_order")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.quality_scores(docs, labels, residue(F.col("key"), 4) == 2)
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", licences.scan(F.col("text")).alias("found"))
+    return docs.select(
+        "doc_id", F.array_join("found.licences", ",").alias("licences"),
+        F.array_join("found.sentences", ",").alias("sentences"),
+        F.array_join("found.unmatched", ",").alias("unmatched"), F.col("found.n_unknown").alias("n_unknown"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.with_smallest_key(ngram_join.linked_classes(docs, words=4, percent=85))
@@ -70,6 +94,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_bpe, op3_chat, op8_ngram_join, op10_packing)
+    fn.__name__: fn for fn in (op1_bpe, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op10_packing)
 }
 ORACLES: dict[str, str] = {}
