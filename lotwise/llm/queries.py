@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, quality
+from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, ppm, quality
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -87,6 +87,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.with_smallest_key(ngram_join.linked_classes(docs, words=4, percent=85))
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ppm.text_scores(docs, residue(F.col("doc_id"), 10) == 0)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = packing.write_packed(docs, public_tokenizers.path(WORD_VOCABULARY), end_id=END_ID)
@@ -94,6 +99,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_bpe, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op10_packing)
+    fn.__name__: fn for fn in (op1_bpe, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing)
 }
 ORACLES: dict[str, str] = {}
