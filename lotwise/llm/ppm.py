@@ -14,7 +14,7 @@ The log probability of a byte depends on itself and the ``ORDER`` bytes before i
    probability;
 3. each chunk gets the values of its own grams and of its words, meets its texts, and scores them.
 
-Nothing passes through the driver but those short-context counts and four sums. Words that stand in one chunk only are
+Nothing passes through the driver but those short-context counts and a few sums. Words that stand in one chunk only are
 not sent anywhere: the chunk counts them itself.
 
 Defined results: null and empty texts have no words and consist of the end; rows with null ids count as training rows,
@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from lotwise.llm.common import stored
 from lotwise.llm.shingles import mix, word_numbers
 
-ORDER = 4
+ORDER = 5
 START, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 255  # all bytes and the end, without the start
 #: bytes of text that a chunk has on average
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 64_000_000
 #: bytes of text that are turned into arrays at once
 PIECE_BYTES = 2_000_000
 
@@ -63,7 +63,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     """Distinct keys in order and the sums of their counts."""
     if counts is None:
         return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -171,9 +171,11 @@ class _Tally:
 
     def add(self, keys: np.ndarray, learns: np.ndarray) -> None:
         # keys of texts that are not learned from are listed with a count of 0
-        found, counts = _summed(keys, learns.astype(np.int64))
-        self.waiting.append((found, counts))
-        self.held += len(found)
+        self.waiting.append(_summed(keys[learns]))
+        if not learns.all():
+            others = np.unique(keys[~learns])
+            self.waiting.append((others, np.zeros(len(others), np.int64)))
+        self.held += sum(len(w[0]) for w in self.waiting[-2:])
         if self.held > 2_000_000 + len(self.keys):
             self.settle()
 
@@ -261,26 +263,23 @@ def text_scores(
     """
     rows = _chunked(docs, key, text, held_out)
     tallies = stored(_tallies(rows, order), "tallies")
-    # a task hands a chunk on more than once if ids come out of order, and so may several tasks
-    grams = tallies.where("kind = 0").groupBy("chunk", "item").agg(F.sum("n").alias("n"))
-    words = stored(tallies.where("kind = 1").groupBy("chunk", "item").agg(F.sum("n").alias("n")), "words")
+    # a chunk comes from more than one task where ids are out of order
     counts = stored(tallies.where("kind = 0").groupBy("item").agg(F.sum("n").alias("n")), "counts")
     values = stored(gram_values(counts, order), "values")
     same = Window.partitionBy("item")
-    shared = words.select(
-        "chunk", "item", "n", F.sum("n").over(same).alias("c"), F.count(F.lit(1)).over(same).alias("m"),
-        F.min("chunk").over(same).alias("lead"),
-    ).where("m > 1")
-    shared = stored(shared, "shared")
-    own = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_if(F.col("n") > 0).alias("pairs")).first()
-    met = shared.agg(F.count_if(F.col("n") > 0).alias("pairs"), F.count_if((F.col("c") > 0) & (F.col("lead") == F.col("chunk"))).alias("words")).first()
+    by_word = tallies.where("kind = 1").repartition("item").groupBy("chunk", "item").agg(F.sum("n").alias("n"))
+    lead, last = F.min("chunk").over(same), F.max("chunk").over(same)
+    words = stored(by_word.select(
+        "chunk", "item", F.sum("n").over(same).alias("c"), (lead < last).alias("shared"), (F.col("chunk") == lead).alias("first")
+    ), "words")
+    sums = words.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("words")).first()
     ends = rows.where(~F.col("held_out")).count()
-    total = own["tokens"] + ends
-    distinct = own["pairs"] - met["pairs"] + met["words"] + (1 if ends else 0)
+    total = sums["tokens"] + ends
+    distinct = sums["words"] + (1 if ends else 0)
     end_value = float(np.log10(ends + 0.1))
 
-    known = grams.join(values, "item").select("chunk", F.lit(0).alias("kind"), "item", "value").unionByName(
-        shared.select("chunk", F.lit(1).alias("kind"), "item", F.col("c").cast("double").alias("value"))
+    known = tallies.where("kind = 0").join(values, "item").select("chunk", F.lit(0).alias("kind"), "item", "value").unionByName(
+        words.where("shared").select("chunk", F.lit(1).alias("kind"), "item", F.col("c").cast("double").alias("value"))
     )
 
     def score(texts: pa.Table, facts: pa.Table) -> pa.Table:
@@ -288,8 +287,8 @@ def text_scores(
         tables = []
         for k in (0, 1):
             items, found = facts.column("item").to_numpy()[kind == k], facts.column("value").to_numpy()[kind == k]
-            order_ = np.argsort(items)
-            tables.append((items[order_], found[order_]))
+            place = np.argsort(items)
+            tables.append((items[place], found[place]))
         (gram_keys, gram_logs), (word_keys, word_counts) = tables
         held = texts.column("held_out").to_numpy()
         column = texts.column("text")
