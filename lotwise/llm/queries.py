@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, ppm, quality
+from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, ppm, quality, spots
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +28,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spots.with_successor(table(spark, sf_dir, "documents"), "doc_id", "text")
+    n_chars = F.char_length("text")
+    half = F.floor(n_chars / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n_chars - half), F.substring(F.col("next_text"), F.lit(1), half))
+    rows = rows.withColumn("n_chars", n_chars.cast("bigint")).withColumn("edited", edited)
+    rows = rows.withColumn("edited_found", spots.signatures(F.col("edited")))
+    return rows.select(
+        F.col("key").alias("doc_id"), "n_chars", hex_digest(F.col("edited")).alias("edited_sha256"),
+        spots.as_text(F.col("found")).alias("fingerprint"), spots.as_text(F.col("edited_found")).alias("edited_fingerprint"),
+        spots.likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
+        spots.likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+    )
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.sql(
@@ -99,6 +114,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_bpe, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing)
+    fn.__name__: fn for fn in (
+        op1_bpe, op2_spots, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
+    )
 }
 ORACLES: dict[str, str] = {}
