@@ -6,13 +6,14 @@ that is the same for all. The join goes from texts to fewer and fewer candidates
 1. texts with the same set are one *node*, nodes with the same prefix and size are one *group*;
 2. prefixes of groups are matched by shingle. The order puts rare shingles first, by counters of bounded size that
    every text has added to, so what many texts share stands last and hardly ever takes part;
-3. group pairs are filtered by size and by how much of the prefixes agrees, then expanded to nodes, and nodes are
+3. group pairs are filtered by size, by places, and by how much of the prefixes agrees, then expanded to nodes, and nodes are
    verified on their whole sets.
 
 What is wanted are classes of texts connected by links, so pairs inside a class need no second proof. Matches are
-followed twice: first along each shingle's list, where every group meets the one next to it in size and the first one
-(a number of pairs linear in the list); then every remaining pair of a list whose ends are in different classes. No
-list is cut, no candidate is left out: the second round is exact, the first only leaves it less to do.
+followed twice: first along each shingle's list, where every group meets the one before it and the first one, which is
+the least edited (a number of pairs linear in the list); then every remaining pair of a list whose ends are in
+different classes. No list is cut, no candidate is left out: the second round is exact, the first only leaves it less
+to do.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with nothing; repeated
 rows and repeated or null ids are kept and classed by their texts; an empty table gives an empty table.
@@ -179,8 +180,13 @@ def _slot(nodes: np.ndarray) -> np.ndarray:
         return (shingles.mix(nodes.astype(np.int64).view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _room(n_a: Column, place_a: Column, n_b: Column, place_b: Column, percent: int) -> Column:
+    """Whether two sets can be alike if the first shingle they share has these places in their orders.
+
+    From there on each set has ``n - place`` shingles left to share. Pairs that are alike pass at their first shared
+    shingle; sets whose sizes differ too much never do.
+    """
+    return F.least(n_a - place_a, n_b - place_b) * (100 + percent) >= (n_a + n_b) * percent
 
 
 def _filtered(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -227,19 +233,21 @@ def linked_classes(
     groups = stored(nodes.groupBy("group").agg(
         F.min(F.struct("node", "n", "prefix")).alias("g"), F.count(F.lit(1)).alias("size")
     ).select("group", "g.node", "g.n", "g.prefix", "size"), "groups")
-    lists = groups.select(F.explode("prefix").alias("shingle"), "group", "n")
-    order = Window.partitionBy("shingle").orderBy("n", "group")
-    here = F.struct("group", "n")
+    lists = groups.select(F.posexplode("prefix").alias("place", "shingle"), "group", "n")
+    # least edited texts first: the fewer rare shingles of its own a text has, the earlier a common one stands
+    order = Window.partitionBy("shingle").orderBy("place", "n", "group")
+    here = F.struct("group", "n", "place")
     met = lists.select(
-        "shingle", "group", "n", F.lag(here).over(order).alias("near"), F.first(here).over(order).alias("head")
+        "shingle", "group", "n", "place", F.lag(here).over(order).alias("near"), F.first(here).over(order).alias("head")
     ).where("near IS NOT NULL")
     met = stored(met, "met")
     # every list that has more than one group, whole: its head and all that follow it
-    longer = met.select("shingle", "group", "n").unionByName(
-        met.select("shingle", F.col("head.group").alias("group"), F.col("head.n").alias("n")).distinct()
+    longer = met.select("shingle", "group", "n", "place").unionByName(
+        met.select("shingle", "head.group", "head.n", "head.place").distinct()
     )
-    close = met.select(F.col("group").alias("a"), "n", F.explode(F.array("near", "head")).alias("other"))
-    close = close.where((F.col("a") != F.col("other.group")) & _sizes_fit(F.col("n"), F.col("other.n"), percent))
+    close = met.select(F.col("group").alias("a"), "n", "place", F.explode(F.array("near", "head")).alias("other"))
+    close = close.where((F.col("a") != F.col("other.group")) & _room(
+        F.col("n"), F.col("place"), F.col("other.n"), F.col("other.place"), percent))
     close = close.select(F.least("a", "other.group").alias("a"), F.greatest("a", "other.group").alias("b")).distinct()
     firsts = groups.select("group", "node")
     of = lambda pairs: (
@@ -260,12 +268,12 @@ def linked_classes(
     spread = classed.groupBy("group").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     listed = longer.join(spread, "group")
     mixed = listed.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("shingle")
-    listed = listed.join(mixed, "shingle").select("shingle", "group", "n", "low", "high")
+    listed = listed.join(mixed, "shingle").select("shingle", "group", "n", "place", "low", "high")
     left, right = listed.alias("x"), listed.alias("y")
     between = left.join(
         right,
         (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.group") < F.col("y.group"))
-        & _sizes_fit(F.col("x.n"), F.col("y.n"), percent)
+        & _room(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place"), percent)
         & ~((F.col("x.low") == F.col("y.high")) & (F.col("x.high") == F.col("y.low")) & (F.col("x.low") == F.col("x.high"))),
     ).select(F.col("x.group").alias("a"), F.col("y.group").alias("b")).distinct()
     side = lambda x: classed.select(
