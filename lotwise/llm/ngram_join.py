@@ -305,3 +305,17 @@ def with_smallest_key(classes: DataFrame, key: str = "doc_id", out: str = "compo
     return classes.join(least, "component", "left").select(
         key, "n_shingles", F.coalesce(F.col("__least"), F.col(key)).alias(out)
     )
+
+
+def one_of_each(docs: DataFrame, words: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without all but one text of each class; all columns stay.
+
+    The text with the smallest ``key`` stays (null first), among equal keys the one with the smallest hash; rows that
+    agree in key and text are one. Texts without shingles are in no class and stay.
+    """
+    tied = docs.withColumn("__tie", F.xxhash64(F.col(key), F.col(text)))
+    known = linked_classes(tied.select(F.struct(F.col(key).alias("k"), "__tie").alias("key"), text), words, percent, "key", text)
+    ranked = known.where("component IS NOT NULL").groupBy("component").agg(F.min("key").alias("kept"))
+    kept = ranked.select("kept.*").unionByName(known.where("component IS NULL").select("key.*")).distinct()
+    kept = stored(kept.select(F.col("__tie")), "kept")
+    return tied.join(kept, "__tie", "left_semi").dropDuplicates(["__tie"]).drop("__tie")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, licences, mixing, ngram_join, packing, ppm, quality, spots
+from lotwise.llm import bpe, chat, forest, licences, mixing, ngram_join, packing, ppm, quality, spots
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("key") % 50 == 0)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every use of every document, in the permutation of its source's blocks."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("n_tokens"))
@@ -115,7 +119,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
-        op1_bpe, op2_spots, op3_chat, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
+        op1_bpe, op2_spots, op3_chat, op4_forest, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
     )
 }
 ORACLES: dict[str, str] = {}
