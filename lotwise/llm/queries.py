@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import bpe, chat, forest, licences, mixing, ngram_join, packing, ppm, quality, spots
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
+from lotwise.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -122,4 +125,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe, op2_spots, op3_chat, op4_forest, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
     )
 }
-ORACLES: dict[str, str] = {}
