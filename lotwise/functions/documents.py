@@ -33,12 +33,15 @@ def read_document(text: str | None) -> object:
     return value if isinstance(value, (dict, list)) else {}
 
 
-def _leaves(node: object, name: str) -> Iterator[tuple[str, str]]:
-    if isinstance(node, dict):
-        for key, value in node.items():
-            yield from _leaves(value, str(key).lower().strip())
-    elif not isinstance(node, list):
-        yield name, str(node).lower().strip()
+def _leaves(document: dict) -> Iterator[tuple[str, str]]:
+    """Leaves in document order, at any depth."""
+    waiting: list[tuple[str, object]] = [("", document)]
+    while waiting:
+        name, node = waiting.pop()
+        if isinstance(node, dict):
+            waiting.extend((str(k).lower().strip(), v) for k, v in reversed(node.items()))
+        elif not isinstance(node, list):
+            yield name, str(node).lower().strip()
 
 
 def leaf_pairs_of(text: str | None) -> list[dict[str, str]] | None:
@@ -46,7 +49,7 @@ def leaf_pairs_of(text: str | None) -> list[dict[str, str]] | None:
     document = read_document(text)
     if not isinstance(document, dict):
         return None
-    return [{"key": k, "value": v} for k, v in dict(_leaves(document, "")).items()]
+    return [{"key": k, "value": v} for k, v in dict(_leaves(document)).items()]
 
 
 @F.pandas_udf(PAIRS)

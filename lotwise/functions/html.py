@@ -5,6 +5,7 @@ Only what needs a parser happens here; all field rules are Spark expressions on
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -26,6 +27,7 @@ PAGE = t.StructType(
         t.StructField("equipment_at", t.IntegerType()),
         t.StructField("description_at", t.IntegerType()),
         t.StructField("links", t.ArrayType(t.StringType())),
+        t.StructField("failed", t.BooleanType()),
     ]
 )
 _VOID = frozenset(
@@ -48,12 +50,15 @@ class _Page(HTMLParser):
         self.open: list[tuple[str, int, str | None]] = []  # tag, first string, role
         self.found: dict[str, object] = {"links": []}
         self.starts: dict[str, int] = {}
+        self.visible: list[int] = []  # strings that show more than white space
 
     def _flush(self, shown: bool = True) -> None:
         if self.pending:
             hidden = any(tag in _HIDDEN for tag, _, _ in self.open)
             self.strings.append("".join(self.pending))
             self.shown.append(shown and not hidden)
+            if self.shown[-1] and self.strings[-1].strip():
+                self.visible.append(len(self.strings) - 1)
             self.pending = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -108,11 +113,14 @@ class _Page(HTMLParser):
         return tag
 
     def _note_heading(self, first: int) -> None:
-        text = ""
-        for string, ok in zip(self.strings[first:], self.shown[first:]):
-            text += string if ok else ""
-            if len(text.strip()) > _LONGEST_HEADING:
-                return
+        # every string has a character at least, so a heading spans few of them
+        start = bisect_left(self.visible, first)
+        if start == len(self.visible) or len(self.visible) - start > _LONGEST_HEADING:
+            return
+        begin, end = self.visible[start], self.visible[-1] + 1
+        if end - begin > 2 * _LONGEST_HEADING:
+            return
+        text = "".join(s for s, ok in zip(self.strings[begin:end], self.shown[begin:end]) if ok)
         name = _HEADINGS.get(text.strip())
         if name:
             # an outer element closes later but starts earlier: document order means the smaller start
@@ -149,7 +157,14 @@ def read_page(html: str | None) -> dict | None:
     return page.result()
 
 
+def tolerant_page(html: str | None) -> dict:
+    """The parts of one page; a page that cannot be read has none and is marked, the others go on."""
+    try:
+        return {**(read_page(html) or dict.fromkeys(PAGE.names)), "failed": False}
+    except Exception:  # whatever a broken page makes the parser stumble over
+        return {**dict.fromkeys(PAGE.names), "failed": True}
+
+
 @F.pandas_udf(PAGE)
 def page_parts(pages: pd.Series) -> pd.DataFrame:
-    rows = [read_page(html) or dict.fromkeys(PAGE.names) for html in pages]
-    return pd.DataFrame(rows, columns=PAGE.names)
+    return pd.DataFrame([tolerant_page(html) for html in pages], columns=PAGE.names)

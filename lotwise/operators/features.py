@@ -22,7 +22,9 @@ Text:
 def prompt_candidates(
     listings: DataFrame, details: DataFrame, low: int | None = None, high: int | None = None
 ) -> DataFrame:
-    """Listings with a description, optionally within an id range (both ends included)."""
+    """DE listings with a description, optionally within an id range (both ends included)."""
+    if "market" in listings.columns:
+        listings = listings.where(F.col("market") == "DE")
     rows = listings.select("id").join(
         details.select(F.col("listing_id").alias("id"), "beschreibung").where(F.col("beschreibung").isNotNull()), "id"
     )

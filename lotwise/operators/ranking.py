@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1_000_000
+SPAN_BLOCKS = 4096
 
 
 def with_global_rank(
@@ -14,15 +15,20 @@ def with_global_rank(
     """Add the 1-based rank of a unique BIGINT ``key`` over all rows.
 
     Keys are cut into blocks of ``block_width`` consecutive values, so a block has at most that many
-    rows whatever the data. Rows are ranked inside their block; only the table of block sizes
-    (rows / block_width entries) is summed up in order. Blocks depend on the key's value alone, so
+    rows whatever the data. Rows are ranked inside their block; block sizes are summed up in order within
+    spans of ``SPAN_BLOCKS`` blocks, and only the sums of spans in one task. Blocks depend on the key's value alone, so
     recomputed tasks give the same ranks.
     """
     blocks = df.withColumn("__block", F.floor(F.col(key) / F.lit(block_width)))
     sizes = blocks.groupBy("__block").agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "__block", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
+    # two levels: only the sums of many blocks each are put in order in one task
+    sizes = sizes.withColumn("__span", F.floor(F.col("__block") / F.lit(SPAN_BLOCKS)))
+    spans = sizes.groupBy("__span").agg(F.sum("__size").alias("__all"))
+    earlier = Window.orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("__span", F.coalesce(F.sum("__all").over(earlier), F.lit(0)).alias("__start"))
+    before = Window.partitionBy("__span").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.join(spans, "__span").select(
+        "__block", (F.col("__start") + F.coalesce(F.sum("__size").over(before), F.lit(0))).alias("__offset")
     )
     inside = F.row_number().over(Window.partitionBy("__block").orderBy(key))
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,14 @@ def with_defaults(df: DataFrame, market: str) -> DataFrame:
     return df.withColumns({"brand": F.lower("brand"), "model": F.lower("model"), **filled})
 
 
-def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Absent numbers are 0, categories are lower-cased and trimmed."""
+def prepare(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], medians: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Absent numbers are 0, missing ones the median of the training rows; categories are lower-cased and trimmed."""
+    medians = medians or {}
     numbers = {
-        c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0) for c in numeric
+        c: F.coalesce(F.col(c).cast("double"), F.lit(float(medians.get(c) or 0.0))) if c in df.columns else F.lit(0.0)
+        for c in numeric
     }
     texts = {c: strip(F.lower(c)) if c in df.columns else F.lit(None).cast("string") for c in categorical}
     return df.withColumns({**numbers, **texts})
@@ -51,7 +55,7 @@ def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -
 
 def predict_prices(model: PriceModel, df: DataFrame) -> DataFrame:
     """Add ``features`` and ``prediction``."""
-    scored = model.pipeline.transform(prepare(df, model.numeric, model.categorical))
+    scored = model.pipeline.transform(prepare(df, model.numeric, model.categorical, model.medians))
     return scored.drop(*[c for c in scored.columns if c.endswith(("__index", "__hot"))])
 
 
@@ -68,20 +72,12 @@ def unknown_categories(model: PriceModel, df: DataFrame) -> DataFrame:
 
 
 def depreciation(df: DataFrame, score: Scorer, key: str = "subject_id") -> DataFrame:
-    """Price as new minus price at the given age and mileage, both scored in one pass."""
-    states = F.explode(F.array(F.lit("new"), F.lit("used"))).alias("__state")
-    rows = df.repartition(key).select("*", states)
-    fresh = F.col("__state") == "new"
-    rows = rows.withColumns({c: F.when(fresh, F.lit(0.0)).otherwise(F.col(c).cast("double")) for c in ("car_age", "mileage")})
-    return (
-        score(rows)
-        .groupBy(key)
-        .agg(
-            F.max(F.when(fresh, F.col("prediction"))).alias("price_new"),
-            F.max(F.when(~fresh, F.col("prediction"))).alias("price_used"),
-        )
-        .withColumn("loss", F.col("price_new") - F.col("price_used"))
-    )
+    """Price as new minus price at the given age and mileage: each row is scored twice, no row moves."""
+    given = ("car_age", "mileage")
+    rows = df.withColumns({f"__{c}": F.col(c).cast("double") for c in given})
+    fresh = score(rows.withColumns({c: F.lit(0.0) for c in given})).withColumnRenamed("prediction", "price_new")
+    used = score(fresh.withColumns({c: F.col(f"__{c}") for c in given})).withColumnRenamed("prediction", "price_used")
+    return used.select(key, "price_new", "price_used", (F.col("price_new") - F.col("price_used")).alias("loss"))
 
 
 def price_report(explained: DataFrame, market: str, key: str = "subject_id") -> DataFrame:

@@ -26,7 +26,10 @@ KEY = "listing_id"
 SEED = 42
 
 
-def _parents(listings: DataFrame) -> DataFrame:
+def _parents(listings: DataFrame, market: str) -> DataFrame:
+    """Parents of one market only: ids are unique inside a market, and its partition is all that is read."""
+    if "market" in listings.columns:
+        listings = listings.where(F.col("market") == market)
     return listings.select(
         F.col("id").alias(KEY), "price", "mileage", *[safe_text(F.col(c)).alias(c) for c in ("brand", "model")]
     ).where(F.col("price").isNotNull())
@@ -35,13 +38,16 @@ def _parents(listings: DataFrame) -> DataFrame:
 def training_rows_de(
     listings: DataFrame, details: DataFrame, features: DataFrame, feature_order: Sequence[str] | None = None
 ) -> DataFrame:
-    """DE rows with a price, a parent and features. ``feature_order`` picks one of several feature rows."""
-    one = keep_first(features, [KEY], feature_order) if feature_order else features
+    """DE rows with a price, a parent and features.
+
+    Of several feature rows the first by ``feature_order`` counts, by all columns if there is no such order.
+    """
+    one = keep_first(features, [KEY], feature_order or [c for c in features.columns if c != KEY])
     kept = [c for c in one.columns if c != KEY and c not in (feature_order or ())]
     children = details.select(
         KEY, "car_age", "power_ps", "owners", *[safe_text(F.col(c)).alias(c) for c in ("transmission", "fuel")]
     )
-    return _parents(listings).join(children, KEY).join(one.select(KEY, *kept), KEY)
+    return _parents(listings, "DE").join(children, KEY).join(one.select(KEY, *kept), KEY)
 
 
 def training_rows_us(listings: DataFrame, details: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def training_rows_us(listings: DataFrame, details: DataFrame) -> DataFrame:
         *[safe_text(F.col(c)).alias(c) for c in texts],
         *[safe_flag(F.col(c)).alias(c) for c in V.US_TRAIN_FLAGS],
     )
-    return _parents(listings).join(children, KEY)
+    return _parents(listings, "US").join(children, KEY)
 
 
 def eligible(rows: DataFrame, market: str, excluded: str | None = V.US_EXCLUDED_BRAND) -> DataFrame:
@@ -107,12 +113,10 @@ def feature_names(fitted: PipelineModel, numeric: Sequence[str]) -> list[str]:
 
 def one_hot_rows(fitted: PipelineModel, rows: DataFrame, key: str = KEY) -> DataFrame:
     """The indicator part of the matrix as rows ``(key, feature)``, one per set indicator."""
-    words = vocabulary(fitted)
+    sizes = {c: len(v) for c, v in vocabulary(fitted).items()}
     indexed = fitted.stages[0].transform(rows)
-    names = [
-        F.get(F.array(*[F.lit(f"{c}_{v}") for v in values]), F.col(f"{c}__index").cast("int"))
-        for c, values in words.items()
-    ]
+    # a known category's name is in the row already
+    names = [F.when(F.col(f"{c}__index") < n, F.concat(F.lit(f"{c}_"), F.col(c))) for c, n in sizes.items()]
     return indexed.select(key, F.explode(F.array_compact(F.array(*names))).alias("feature"))
 
 
@@ -183,14 +187,10 @@ def fit_price_model(
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(booster.getParam(name), list(values))
-    combinations = builder.build()
-    if len(combinations) == 1:
-        best = booster.copy(combinations[0]).fit(train)
-    else:
-        best = CrossValidator(
-            estimator=booster, estimatorParamMaps=combinations, numFolds=folds, foldCol="fold",
-            evaluator=RegressionEvaluator(labelCol=V.TARGET, metricName="mae"), parallelism=parallelism,
-        ).fit(train).bestModel
+    best = CrossValidator(
+        estimator=booster, estimatorParamMaps=builder.build(), numFolds=folds, foldCol="fold",
+        evaluator=RegressionEvaluator(labelCol=V.TARGET, metricName="mae"), parallelism=parallelism,
+    ).fit(train).bestModel
     model = PriceModel(market, PipelineModel([*fitted.stages, best]), numeric, categorical, medians)
     return model, best.transform(prepared.where("is_test"))
 

@@ -3,32 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lotwise.plans.ingest import clean
-from lotwise.schemas import RAW_DE, RAW_US
+from lotwise.sources.raw import read_raw
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
-def raw_stream(spark: SparkSession, folder: str, market: str) -> DataFrame:
-    """CSV files landing in a folder, as text with the position inside their micro-batch."""
-    schema = RAW_DE if market.upper() == "DE" else RAW_US
-    reader = spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.csv(folder)
+
+def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The names of CSV files that land in a folder; their content is read per micro-batch, by its header."""
+    return spark.readStream.format("binaryFile").schema(_FILES).load(folder).select("path")
 
 
 def append_cleaned(
     stream: DataFrame, market: str, root: str, checkpoint: str, as_of: str | None = None
 ) -> StreamingQuery:
-    """Clean every micro-batch and write it under its own batch number.
+    """Clean the files of every micro-batch and write the rows under the batch's own number.
 
     A batch that is repeated after a failure overwrites its own folder, so rows are stored exactly once.
-    Copies are removed within a batch; copies across batches meet when the table is loaded.
+    Copies are removed within a batch; copies across batches meet when the table is loaded. The driver gets the file
+    names of one micro-batch.
     """
+    if market.upper() == "US" and as_of is None:
+        raise ValueError("US ages need the as_of time")
 
     def write(batch: DataFrame, number: int) -> None:
-        positioned = batch.withColumn("row_pos", F.monotonically_increasing_id())
-        clean(positioned, market, as_of).write.mode("overwrite").parquet(f"{root}/batch={number}")
+        files = sorted(r["path"] for r in batch.collect())
+        if files:
+            raw = read_raw(batch.sparkSession, files, market)
+            clean(raw, market, as_of).write.mode("overwrite").parquet(f"{root}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

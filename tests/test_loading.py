@@ -121,5 +121,30 @@ def test_stream_cleans_each_piece_once(spark, tmp_path):
     for extra in (0, 1):
         if extra:
             store.append_csv(de(spark, {"Titel": "AUDI A4"}).drop("row_pos"), folder)
-        append.append_cleaned(append.raw_stream(spark, folder, "DE"), "DE", root, str(tmp_path / "cp")).awaitTermination()
+        append.append_cleaned(append.raw_stream(spark, folder), "DE", root, str(tmp_path / "cp")).awaitTermination()
     assert sorted(values(spark.read.parquet(root), "brand")) == ["audi", "volkswagen"]
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    for name, lines in (("b", "b,a,c\n1,2,3\n4,5,6\n"), ("a", "a,b\n9,8\n"), ("c", "b,a,c\n7,,\n")):
+        (tmp_path / f"{name}.csv").write_text(lines)
+    rows = raw.read_csv(spark, str(tmp_path)).select("a", "b", "c").collect()
+    assert sorted(map(tuple, rows), key=str) == [("2", "1", "3"), ("5", "4", "6"), ("9", "8", None), (None, "7", None)]
+    order = raw.read_raw(spark, str(tmp_path), "US").orderBy("row_pos")
+    assert values(order, "b") == ["8", "1", "4", "7"]
+
+
+def test_us_stream_reads_by_header(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    row = {"retailListing_price": "20000", "retailListing_miles": "1000", "vehicle_year": "2020", "vehicle_make": "BMW",
+           "vehicle_model": "X1", "vehicle_vin": "1HGCM82633A004352", "zz_unknown": "1"}
+    for name, columns in (("one", sorted(row)), ("two", sorted(row, reverse=True))):
+        cells = [f"{row[c]}{1 if name == 'two' and c == 'retailListing_price' else ''}" for c in columns]
+        (folder / f"{name}.csv").write_text(",".join(columns) + "\n" + ",".join(cells) + "\n")
+    stream = append.raw_stream(spark, str(folder))
+    append.append_cleaned(stream, "US", root, str(tmp_path / "cp"), "2026-01-15T12:00:00Z").awaitTermination()
+    found = spark.read.parquet(root)
+    assert sorted(values(found, "price_usd")) == [20000.0, 200001.0] and set(values(found, "make")) == {"bmw"}
+    with pytest.raises(ValueError):
+        append.append_cleaned(stream, "US", root, str(tmp_path / "cp2"))
