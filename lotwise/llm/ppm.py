@@ -15,10 +15,11 @@ The log probability of a byte depends on itself and the ``ORDER`` bytes before i
 3. each chunk gets the values of its own grams and of its words, meets its texts, and scores them.
 
 Nothing passes through the driver but those short-context counts and a few sums. Words that stand in one chunk only are
-not sent anywhere: the chunk counts them itself.
+not sent anywhere: the chunk counts them itself. Counts and values travel as packed numbers, one row per chunk and
+branch or range of words.
 
 Defined results: null and empty texts have no words and consist of the end; rows with null ids count as training rows,
-go to chunks by their text and keep a null id; repeated rows count and are scored as often as they stand there; with
+go to chunks by their text and keep a null id (values are rounded to four-byte floats, a text's sum is not); repeated rows count and are scored as often as they stand there; with
 no training text at all every byte is equally likely; an empty table gives an empty table.
 """
 
@@ -28,17 +29,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import stored
 from lotwise.llm.shingles import mix, word_numbers
 
-ORDER = 5
+ORDER = 5  # at most 5: what a branch does not share of a gram is packed into four bytes
 START, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 255  # all bytes and the end, without the start
 #: bytes of text that a chunk has on average
-CHUNK_BYTES = 64_000_000
+CHUNK_BYTES = 40_000_000
 #: bytes of text that are turned into arrays at once
 PIECE_BYTES = 2_000_000
 
@@ -161,6 +162,34 @@ def _words_of(piece: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return mix(numbers).view(np.int64), np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Runs of numbers, from each cut to the next, as binary values."""
+    offsets = (np.append(cuts, len(values)) * values.itemsize).astype(np.int32)
+    data = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _numbers(column: pa.ChunkedArray | pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Packed numbers of a binary column one after the other, and how many each row has."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), kind), np.array([len(r) for r in rows], np.int64) // np.dtype(kind).itemsize
+
+
+def _cuts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def _split_grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two context bytes that name a gram's branch, and the rest of it."""
+    return (codes >> 8) & 0xFFFF, ((codes >> 24) << 8 | codes & 0xFF).astype(np.uint32)
+
+
+def _join_grams(branch: np.ndarray | int, rest: np.ndarray) -> np.ndarray:
+    rest = rest.astype(np.int64)
+    return (rest >> 8) << 24 | branch << 8 | rest & 0xFF
+
+
 class _Tally:
     """Sums per key that stay small while parts are added."""
 
@@ -176,7 +205,7 @@ class _Tally:
             others = np.unique(keys[~learns])
             self.waiting.append((others, np.zeros(len(others), np.int64)))
         self.held += sum(len(w[0]) for w in self.waiting[-2:])
-        if self.held > 2_000_000 + len(self.keys):
+        if self.held > 500_000 + len(self.keys):
             self.settle()
 
     def settle(self) -> None:
@@ -185,8 +214,8 @@ class _Tally:
         self.waiting, self.held = [], 0
 
 
-def _chunked(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
-    """``(key, text, held_out, chunk)``: chunks are ranges of ids with about ``CHUNK_BYTES`` of text."""
+def _chunked(docs: DataFrame, key: str, text: str, held_out: Column) -> tuple[DataFrame, int]:
+    """``(key, text, held_out, chunk)`` and the number of chunks: ranges of ids with about ``CHUNK_BYTES`` of text."""
     found = docs.agg(
         F.min(key).alias("low"), F.max(key).alias("high"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
     ).first()
@@ -196,62 +225,118 @@ def _chunked(docs: DataFrame, key: str, text: str, held_out: Column) -> DataFram
     chunk = F.coalesce(
         F.floor((F.col(key) - F.lit(low)) / F.lit(width)), -1 - F.pmod(F.xxhash64(text), F.lit(chunks))
     ).cast("bigint")
-    return docs.select(
+    rows = docs.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"), chunk.alias("chunk"),
     )
+    return rows, chunks
 
 
-def _tallies(rows: DataFrame, order: int) -> DataFrame:
-    """``(kind, chunk, item, n)``: grams (0) and words (1) per chunk with their number in training texts."""
+PACKED = "kind int, chunk bigint, part bigint, items binary, n binary"
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(chunk: int, found: tuple[_Tally, _Tally]) -> Iterator[pa.RecordBatch]:
-            for kind, t in enumerate(found):
-                t.settle()
-                for a in range(0, len(t.keys), 500_000):
-                    keys, counts = t.keys[a : a + 500_000], t.counts[a : a + 500_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(np.full(len(keys), chunk, np.int64)),
-                         pa.array(keys), pa.array(counts)], ["kind", "chunk", "item", "n"])
 
+def _tallies(rows: DataFrame, order: int, word_bits: int) -> DataFrame:
+    """Counts in training texts per chunk, packed: grams by branch (kind 0), words by range (1), short contexts (2)."""
+
+    def packed(kind: int, chunk: int, part: np.ndarray, items: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        cuts = _cuts(part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(cuts), kind, np.int32)), pa.array(np.full(len(cuts), chunk, np.int64)),
+             pa.array(part[cuts].astype(np.int64)), _binary(items, cuts), _binary(counts.astype(np.uint32), cuts)],
+            ["kind", "chunk", "part", "items", "n"])
+
+    def out(chunk: int, found: tuple[_Tally, _Tally]) -> Iterator[pa.RecordBatch]:
+        grams, words = found
+        grams.settle()
+        words.settle()
+        branch, rest = _split_grams(grams.keys)
+        place = np.argsort(branch << 32 | rest)
+        yield packed(0, chunk, branch[place], rest[place], grams.counts[place])
+        low, sums = _summed(grams.keys & 0xFFFF, grams.counts)
+        yield packed(2, chunk, low >> 8, low.astype(np.uint32), sums)
+        ranges = (words.keys.view(np.uint64) >> np.uint64(64 - word_bits)).astype(np.int64)
+        yield packed(1, chunk, ranges, words.keys, words.counts)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: dict[int, tuple[_Tally, _Tally]] = {}
         for batch in batches:
             numbers = batch.column(2).to_numpy(zero_copy_only=False)
             learns = ~batch.column(1).to_numpy(zero_copy_only=False)
-            texts = batch.column(0).to_pylist()
             for chunk in np.unique(numbers).tolist():
                 rows = np.flatnonzero(numbers == chunk)
                 found, at = open_.setdefault(chunk, (_Tally(), _Tally())), 0
-                for piece in _pieces([texts[i] for i in rows.tolist()]):
+                for piece in _pieces(batch.column(0).take(pa.array(rows)).to_pylist()):
                     own = learns[rows[at : at + len(piece)]]
                     at += len(piece)
                     for t, (keys, sizes) in zip(found, (grams_of(piece, order), _words_of(piece))):
                         t.add(keys, np.repeat(own, sizes))
-            # chunks come in order where ids do; finished ones are handed on
+            # chunks come in order where ids do; earlier ones are handed on
             while len(open_) > 2:
                 chunk = next(iter(open_))
                 yield from out(chunk, open_.pop(chunk))
         for chunk, found in open_.items():
             yield from out(chunk, found)
 
-    return rows.select("text", "held_out", "chunk").mapInArrow(tally, "kind int, chunk bigint, item bigint, n bigint")
+    return rows.select("text", "held_out", "chunk").mapInArrow(tally, PACKED)
+
 
+def short_contexts(tallies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (context byte, byte) and their counts, at most 65,536."""
 
-def gram_values(counts: DataFrame, order: int) -> DataFrame:
-    """``(item, value)``: the log10 probability of every gram of ``counts(item, n)``."""
-    low = counts.groupBy(F.col("item").bitwiseAND(0xFFFF).alias("code")).agg(F.sum("n").alias("n")).where("n > 0").collect()
-    codes = np.array(sorted(r["code"] for r in low), np.int64)
-    by_code = {r["code"]: r["n"] for r in low}
-    shared = (codes, np.array([by_code[c] for c in codes.tolist()], np.int64))
+    def add(table: pa.Table) -> pa.Table:
+        items, counts = (_numbers(table.column(c), "<u4")[0].astype(np.int64) for c in ("items", "n"))
+        codes, sums = _summed(items, counts)
+        return pa.table({"code": pa.array(codes), "n": pa.array(sums)})
+
+    rows = tallies.where("kind = 2").groupBy("part").applyInArrow(add, "code bigint, n bigint").where("n > 0").collect()
+    rows.sort(key=lambda r: r["code"])
+    return tuple(np.array([r[c] for r in rows], np.int64) for c in ("code", "n"))
+
+
+def gram_values(tallies: DataFrame, low: tuple[np.ndarray, np.ndarray], order: int) -> DataFrame:
+    """The packed grams of every chunk with their log10 probabilities in place of the counts."""
 
     def branch(table: pa.Table) -> pa.Table:
-        items, n = table.column("item").to_numpy(), table.column("n").to_numpy()
-        values = Trie(items, n, shared, order).log10(items)
-        return pa.table({"item": pa.array(items), "value": pa.array(values)})
+        rest, sizes = _numbers(table.column("items"), "<u4")
+        counts, _ = _numbers(table.column("n"), "<u4")
+        codes, place = np.unique(_join_grams(table.column("part")[0].as_py(), rest), return_inverse=True)
+        sums = np.bincount(place, counts, len(codes)).astype(np.int64)
+        values = Trie(codes, sums, low, order).log10(codes).astype("<f4")[place]
+        return pa.table({"kind": table.column("kind"), "chunk": table.column("chunk"), "part": table.column("part"),
+                         "items": table.column("items"), "n": _binary(values, np.cumsum(sizes) - sizes)})
+
+    return tallies.where("kind = 0").groupBy("part").applyInArrow(branch, PACKED)
 
-    suffix = F.shiftright("item", 8).bitwiseAND(0xFFFF)
-    return counts.groupBy(suffix.alias("branch")).applyInArrow(branch, "item bigint, value double")
+
+def shared_words(tallies: DataFrame) -> DataFrame:
+    """The packed words of every chunk that other chunks have too, with their counts over all chunks.
+
+    The first row of each range of words also has the sums of the range: ``tokens`` and distinct ``words``.
+    """
+
+    def count(table: pa.Table) -> pa.Table:
+        items, sizes = _numbers(table.column("items"), "<i8")
+        counts, _ = _numbers(table.column("n"), "<u4")
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        chunk = table.column("chunk").to_numpy()[row]
+        words, place = np.unique(items, return_inverse=True)
+        sums = np.bincount(place, counts, len(words))
+        order = np.argsort(place, kind="stable")
+        first = _cuts(place[order])
+        ranges = chunk[order]
+        several = np.minimum.reduceat(ranges, first) < np.maximum.reduceat(ranges, first) if len(first) else np.zeros(0, bool)
+        kept = several[place]
+        left = np.bincount(row[kept], minlength=len(sizes))
+        head = np.arange(len(sizes)) == 0
+        cuts = np.cumsum(left) - left
+        return pa.table({
+            "kind": table.column("kind"), "chunk": table.column("chunk"), "part": table.column("part"),
+            "items": _binary(items[kept], cuts), "n": _binary(sums[place][kept].astype("<f8"), cuts),
+            "tokens": pa.array(np.where(head, int(sums.sum()), 0)), "words": pa.array(np.where(head, int((sums > 0).sum()), 0)),
+        })
+
+    schema = f"{PACKED}, tokens bigint, words bigint"
+    return tallies.where("kind = 1").groupBy("part").applyInArrow(count, schema)
 
 
 def text_scores(
@@ -261,44 +346,38 @@ def text_scores(
 
     The base is that of single tokens, with a tenth added to every count and one token for all unknown ones.
     """
-    rows = _chunked(docs, key, text, held_out)
-    tallies = stored(_tallies(rows, order), "tallies")
-    # a chunk comes from more than one task where ids are out of order
-    counts = stored(tallies.where("kind = 0").groupBy("item").agg(F.sum("n").alias("n")), "counts")
-    values = stored(gram_values(counts, order), "values")
-    same = Window.partitionBy("item")
-    by_word = tallies.where("kind = 1").repartition("item").groupBy("chunk", "item").agg(F.sum("n").alias("n"))
-    lead, last = F.min("chunk").over(same), F.max("chunk").over(same)
-    words = stored(by_word.select(
-        "chunk", "item", F.sum("n").over(same).alias("c"), (lead < last).alias("shared"), (F.col("chunk") == lead).alias("first")
-    ), "words")
-    sums = words.where("first").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count_if(F.col("c") > 0).alias("words")).first()
+    rows, chunks = _chunked(docs, key, text, held_out)
+    tallies = stored(_tallies(rows, order, max(8, (2 * chunks).bit_length())), "tallies")
+    words = stored(shared_words(tallies), "words")
+    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "words")]).first()
     ends = rows.where(~F.col("held_out")).count()
     total = sums["tokens"] + ends
     distinct = sums["words"] + (1 if ends else 0)
     end_value = float(np.log10(ends + 0.1))
-
-    known = tallies.where("kind = 0").join(values, "item").select("chunk", F.lit(0).alias("kind"), "item", "value").unionByName(
-        words.where("shared").select("chunk", F.lit(1).alias("kind"), "item", F.col("c").cast("double").alias("value"))
-    )
+    known = gram_values(tallies, short_contexts(tallies), order).unionByName(words.drop("tokens", "words"))
 
     def score(texts: pa.Table, facts: pa.Table) -> pa.Table:
         kind = facts.column("kind").to_numpy()
-        tables = []
-        for k in (0, 1):
-            items, found = facts.column("item").to_numpy()[kind == k], facts.column("value").to_numpy()[kind == k]
-            place = np.argsort(items)
-            tables.append((items[place], found[place]))
-        (gram_keys, gram_logs), (word_keys, word_counts) = tables
+        grams, shared = (facts.filter(pa.array(kind == k)) for k in (0, 1))
+        rest, sizes = _numbers(grams.column("items"), "<u4")
+        keys = _join_grams(np.repeat(grams.column("part").to_numpy(), sizes), rest)
+        place = np.argsort(keys)
+        gram_keys, gram_logs = keys[place], _numbers(grams.column("n"), "<f4")[0][place].astype(float)
+        keys, counts = _numbers(shared.column("items"), "<i8")[0], _numbers(shared.column("n"), "<f8")[0]
+        place = np.argsort(keys)
+        word_keys, word_counts = keys[place], counts[place]
         held = texts.column("held_out").to_numpy()
         column = texts.column("text")
-        lists = [column.slice(a, 2000).to_pylist() for a in range(0, len(column), 2000)]
+
+        def pieces() -> Iterator[list[bytes]]:
+            for a in range(0, len(column), 1000):
+                yield from _pieces(column.slice(a, 1000).to_pylist())
+
         local, at = _Tally(), 0
-        for some in lists:  # words of this chunk alone are counted here
-            for piece in _pieces(some):
-                keys, sizes = _words_of(piece)
-                local.add(keys, np.repeat(~held[at : at + len(piece)], sizes))
-                at += len(piece)
+        for piece in pieces():  # words of this chunk alone are counted here
+            keys, sizes = _words_of(piece)
+            local.add(keys, np.repeat(~held[at : at + len(piece)], sizes))
+            at += len(piece)
         local.settle()
         elsewhere = _place(word_keys, local.keys)
         c = local.counts.astype(float)
@@ -306,17 +385,16 @@ def text_scores(
             c = np.where(elsewhere >= 0, word_counts[elsewhere], c)
         logs = np.log10(c + 0.1)
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for some in lists:
-            for piece in _pieces(some):
-                codes, lengths = grams_of(piece, order)
-                sums = np.add.reduceat(gram_logs[np.searchsorted(gram_keys, codes)], np.cumsum(lengths) - lengths)
-                keys, sizes = _words_of(piece)
-                place = np.searchsorted(local.keys, keys)
-                running = np.concatenate([[0.0], np.cumsum(logs[place])])
-                seen = np.concatenate([[0], np.cumsum(c[place] > 0)])
-                stop = np.cumsum(sizes)
-                for column_, v in zip(out, (sums, running[stop] - running[stop - sizes], seen[stop] - seen[stop - sizes], sizes)):
-                    column_.append(v)
+        for piece in pieces():
+            codes, lengths = grams_of(piece, order)
+            sums_ = np.add.reduceat(gram_logs[np.searchsorted(gram_keys, codes)], np.cumsum(lengths) - lengths)
+            keys, sizes = _words_of(piece)
+            place = np.searchsorted(local.keys, keys)
+            running = np.concatenate([[0.0], np.cumsum(logs[place])])
+            seen = np.concatenate([[0], np.cumsum(c[place] > 0)])
+            stop = np.cumsum(sizes)
+            for values, v in zip(out, (sums_, running[stop] - running[stop - sizes], seen[stop] - seen[stop - sizes], sizes)):
+                values.append(v)
         scores, bases, seen_words, sizes = (np.concatenate(v) for v in out)
         return pa.table({
             "key": texts.column("key"), "held_out": texts.column("held_out"),
