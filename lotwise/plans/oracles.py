@@ -625,3 +625,27 @@ ORACLES["contribution_top"] = _PARTS + """SELECT subject_id,
 ORACLES["contribution_labels"] = _PARTS + """SELECT subject_id, feature, label, sentence,
   CASE WHEN contribution > 0 THEN 'up' ELSE 'down' END AS direction,
   CASE WHEN contribution < 0 THEN '-' ELSE '+' END || format('{:,}', round_even(abs(contribution), 0)::BIGINT) || ' €' AS amount FROM q"""
+
+ORACLES["contribution_report"] = _PARTS + """SELECT subject_id,
+  row_number() OVER (PARTITION BY subject_id ORDER BY abs(contribution::DOUBLE) DESC, feature) AS rank, feature,
+  round(value, 6)::DOUBLE AS value, round(contribution, 6)::DOUBLE + 0.0 AS contribution
+  FROM q QUALIFY rank <= 15"""
+ORACLES["feature_upsert_stored"] = ORACLES["feature_upsert"]
+ORACLES["raw_outputs_stored"] = "SELECT conv_id * 1000 + turn AS listing_id, text AS raw_output FROM conversations"
+
+# a tree with one split on a two-valued number predicts the means of its two groups
+_KNOWN = """WITH r AS (SELECT o_orderkey AS id, o_totalprice AS price,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderstatus = 'O' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS oc FROM orders),
+f AS (SELECT id, price, coalesce(oc, (SELECT median(oc) FROM r)) AS oc FROM r),
+g AS (SELECT oc, avg(price) AS p FROM f GROUP BY oc),
+k AS (SELECT f.id, f.price, f.oc, g.p, (SELECT avg(price) FROM f) AS base FROM f JOIN g ON f.oc = g.oc)
+"""
+ORACLES["known_predictions"] = _KNOWN + "SELECT id AS subject_id, round(p, 6) AS prediction FROM k"
+ORACLES["known_metrics"] = _KNOWN + """SELECT round(avg(abs(price - p)), 3) AS mae,
+  round(1 - sum((price - p) ** 2) / sum((price - base) ** 2), 6) AS r2, count(*) AS rows FROM k"""
+ORACLES["known_contributions"] = _KNOWN + """SELECT id AS subject_id, 'owner_count' AS feature, oc AS value,
+  round(base, 4) AS base_value, round(p - base, 4) AS contribution, round(p, 4) AS prediction FROM k"""
+ORACLES["known_reports"] = _KNOWN + """SELECT id AS subject_id, round(p, 2) AS price, '$' AS currency, n.feature,
+  CASE WHEN n.feature = 'owner_count' THEN round(p - base, 2) ELSE 0.0::DOUBLE END AS impact
+  FROM k CROSS JOIN (VALUES ('mileage'), ('car_age'), ('owner_count'), ('brand_x')) AS n(feature)"""
+ORACLES["known_cv"] = "SELECT count(*) AS rows, 1::BIGINT AS max_depth, 1::BIGINT AS trees FROM orders"

@@ -318,6 +318,28 @@ def feature_upsert(w: Workspace) -> DataFrame:
     return store.upsert(old.select("user_id", "s.*"), new, "user_id", [F.desc("event_id")])
 
 
+@query
+def feature_upsert_stored(w: Workspace) -> DataFrame:
+    """The same update as a stored version after the one it starts from."""
+    events = w.table("events").select("user_id", "event_id", "event_type", "value")
+    old = events.groupBy("user_id").agg(F.min_by(F.struct("event_id", "event_type", "value"), "event_id").alias("s"))
+    root = scratch_path(w.spark, "versions")
+    first = store.store_version(old.select("user_id", "s.*"), root, "features")
+    new = store.upsert(first, events.where("event_type = 'click'"), "user_id", [F.desc("event_id")])
+    return store.store_version(new, root, "features")
+
+
+@query
+def raw_outputs_stored(w: Workspace) -> DataFrame:
+    """Raw model outputs, appended in two pieces."""
+    path = scratch_path(w.spark, "outputs")
+    outputs = w.table("conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("listing_id"), F.col("text").alias("raw_output"), "role"
+    )
+    store.write_outputs(outputs.where("role = 'assistant'"), path)
+    return store.write_outputs(outputs.where("role IS NULL OR role <> 'assistant'"), path)
+
+
 @query
 def feature_snapshot(w: Workspace) -> DataFrame:
     path = store.write_snapshot(w.features, scratch_path(w.spark, "snapshots"))
@@ -386,8 +408,8 @@ def page_links(w: Workspace) -> DataFrame:
 
 @query
 def page_links_first(w: Workspace) -> DataFrame:
-    """The first 200 links in page order."""
-    return pages.distinct_links(views.listing_pages(w.spark, w.sf_dir), V.MAX_LINKS).select("page_id", "link")
+    """A report of the first 200 links in page order; ``page_links`` has all of them."""
+    return pages.distinct_links(views.listing_pages(w.spark, w.sf_dir), 200).select("page_id", "link")
 
 
 @query
@@ -663,6 +685,50 @@ def cv_grid(w: Workspace) -> DataFrame:
     )
 
 
+@query
+def known_predictions(w: Workspace) -> DataFrame:
+    """Prices of a fitted tree whose answer is known: group means, missing numbers scored with the stored median."""
+    return scoring.predict_prices(w.known_model, w.known_cars).select("subject_id", "prediction")
+
+
+@query
+def known_metrics(w: Workspace) -> DataFrame:
+    scored = scoring.predict_prices(w.known_model, w.known_cars)
+    return training.regression_metrics(scored).select(F.round("mae", 3).alias("mae"), F.round("r2", 6).alias("r2"), "rows")
+
+
+@query
+def known_contributions(w: Workspace) -> DataFrame:
+    """Base value, the one contribution, and their sum against the price."""
+    told = explain.explain(w.known_model, w.known_cars)
+    return told.select("subject_id", "base_value", "prediction", F.explode("contributions").alias("c")).select(
+        "subject_id", "c.feature", F.col("c.value").alias("value"), F.round("base_value", 4).alias("base_value"),
+        F.round("c.contribution", 4).alias("contribution"), F.round("prediction", 4).alias("prediction"),
+    )
+
+
+@query
+def known_reports(w: Workspace) -> DataFrame:
+    """The report's fields read back: price, currency, and every factor, used by a split or not."""
+    report = scoring.price_report(explain.explain(w.known_model, w.known_cars), "US", names=w.known_model.names)
+    fields = "berechneter_preis double, waehrung string, alle_preis_einflussfaktoren map<string,double>"
+    return report.select("subject_id", F.from_json("report", fields).alias("r")).select(
+        "subject_id", F.col("r.berechneter_preis").alias("price"), F.col("r.waehrung").alias("currency"),
+        F.explode("r.alle_preis_einflussfaktoren").alias("feature", "impact"),
+    )
+
+
+@query
+def known_cv(w: Workspace) -> DataFrame:
+    """Cross-validated search where one choice must win: without depth there is no split, so depth 1 has the lower error."""
+    grid = {"maxDepth": (0, 1), "stepSize": (0.1,), "maxIter": (1,)}
+    rows = w.known_rows.withColumn("price", F.coalesce("owner_count", F.lit(1.0)) * 1000)
+    best = training.fit_price_model(rows.where("owner_count IS NOT NULL"), "US", grid)[0].regressor
+    return w.table("orders").agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(best.getOrDefault("maxDepth")).cast("bigint").alias("max_depth"), F.lit(best.getNumTrees).cast("bigint").alias("trees")
+    )
+
+
 @query
 def unknown_categories(w: Workspace) -> DataFrame:
     model, _ = w.fitted_us
@@ -682,7 +748,7 @@ def price_reports(w: Workspace) -> DataFrame:
     asked = scoring.with_defaults(
         w.view_us.select(F.col("id").alias("subject_id"), "brand", "model", "mileage", "car_age"), "US"
     )
-    return scoring.price_report(explain.explain(model, asked), "US")
+    return scoring.price_report(explain.explain(model, asked), "US", names=model.names)
 
 
 @query
@@ -770,6 +836,12 @@ def contribution_top(w: Workspace) -> DataFrame:
     return explain.contribution_rows(_linear_contributions(w), "subject_id", 5, True)
 
 
+@query
+def contribution_report(w: Workspace) -> DataFrame:
+    """The training report: the fifteen largest contributions, other models included."""
+    return explain.contribution_rows(_linear_contributions(w), "subject_id", V.TRAINING_TOP)
+
+
 @query
 def contribution_labels(w: Workspace) -> DataFrame:
     """Label, sentence, direction and amount of every contribution."""

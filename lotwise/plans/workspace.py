@@ -14,6 +14,7 @@ from lotwise.sources import driver_views as views
 from lotwise.sources.store import write_table
 
 AS_OF = "2026-01-15T12:00:00Z"
+# ids are unique inside a market; every join on them is within one market
 US_BASE = 1_000_000_000
 SMALL_GRID = {"maxDepth": (4,), "stepSize": (0.1,), "maxIter": (5,)}
 
@@ -86,6 +87,25 @@ class Workspace:
         model, scored = training.fit_price_model(self.rows_us, "US", SMALL_GRID)
         return model, self._keep("scored_us", scored.select(training.KEY, "price", "prediction"))
 
+    @property
+    def known_rows(self) -> DataFrame:
+        """Priced rows whose one telling feature has two values and is missing in every seventh row."""
+        count = F.when(F.col("o_orderkey") % 7 == 0, None).when(F.col("o_orderstatus") == "O", 2.0).otherwise(1.0)
+        return self.table("orders").select(
+            F.col("o_orderkey").alias(training.KEY), F.col("o_totalprice").alias("price"), F.lit(1.0).alias("mileage"),
+            F.lit(1.0).alias("car_age"), count.alias("owner_count"), F.lit("x").alias("brand"),
+        )
+
+    @cached_property
+    def known_model(self) -> training.PriceModel:
+        """One split on that feature over all rows: its prices are the two groups' means."""
+        grid = {"maxDepth": (1,), "stepSize": (0.1,), "maxIter": (1,)}
+        return training.fit_price_model(self.known_rows, "US", grid, test_share=0.0)[0]
+
+    @property
+    def known_cars(self) -> DataFrame:
+        return self.known_rows.withColumnRenamed(training.KEY, "subject_id")
+
     @property
     def cars_de(self) -> DataFrame:
         """Every DE listing with features as a subject; buyers and sellers alternate."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -76,6 +77,23 @@ def upsert(old: DataFrame, new: DataFrame, key: str, order: Sequence | None = No
     return old.join(batch.select(key), key, "left_anti").select(*old.columns).unionByName(batch)
 
 
+def store_version(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Write ``df`` as a further version of a table and hand back a scan of it; readers of earlier ones are not disturbed.
+
+    ``df`` may be made from an earlier version of the same table.
+    """
+    path = f"{root.rstrip('/')}/{name}/version={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_outputs(df: DataFrame, path: str) -> DataFrame:
+    """Append raw model outputs ``(listing_id, raw_output)`` and hand back all that is stored there."""
+    kept = df.select(F.col("listing_id").cast("bigint").alias("listing_id"), F.col("raw_output").cast("string").alias("raw_output"))
+    kept.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(kept.schema).parquet(path)
+
+
 def write_snapshot(df: DataFrame, root: str, now: datetime | None = None) -> str:
     """Write under ``run_ts=<yyyyMMdd_HHmmss>`` so that each run keeps its own copy."""
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")

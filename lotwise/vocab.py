@@ -133,7 +133,6 @@ BRAND_MODELS = {
 # ---- listing pages (fixed values) ----
 LINK_HOST = "https://suchen.mobile.de"
 LINK_PATTERN = r"/fahrzeuge/details\.html"
-MAX_LINKS = 200
 NOT_AVAILABLE = "N/A"
 PRICE_TEXT = r"\d{1,3}(?:\.\d{3})*\s*€"
 PRICE_STOP_WORDS = ("/jahr", "mtl", "monat", "ab ")
