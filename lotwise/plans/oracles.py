@@ -649,3 +649,7 @@ ORACLES["known_reports"] = _KNOWN + """SELECT id AS subject_id, round(p, 2) AS p
   CASE WHEN n.feature = 'owner_count' THEN round(p - base, 2) ELSE 0.0::DOUBLE END AS impact
   FROM k CROSS JOIN (VALUES ('mileage'), ('car_age'), ('owner_count'), ('brand_x')) AS n(feature)"""
 ORACLES["known_cv"] = "SELECT count(*) AS rows, 1::BIGINT AS max_depth, 1::BIGINT AS trees FROM orders"
+
+ORACLES["page_failures"] = """SELECT page_id, html IS NOT NULL AND page_id % 5 = 0 AS failed,
+  html IS NULL OR page_id % 5 = 0 AS empty FROM pages"""
+ORACLES["doc_deep_pairs"] = "SELECT event_id AS listing_id, 'inner key' AS key, event_type AS value FROM events"

@@ -10,6 +10,7 @@ from pyspark.sql import types as t
 
 from lotwise import vocab as V
 from lotwise.functions import text as T
+from lotwise.functions.html import page_parts
 from lotwise.operators import (
     cleaning_de, cleaning_us, columns, explain, features, market, medians, pages, ranking, recommend, records,
     scoring, training,
@@ -369,6 +370,15 @@ def response_features(w: Workspace) -> DataFrame:
     return features.document_features(parsed)
 
 
+@query
+def doc_deep_pairs(w: Workspace) -> DataFrame:
+    """A leaf below more than a thousand objects is found."""
+    depth = (F.col("user_id") % 50 + 1200).cast("int")
+    deep = F.concat(F.repeat(F.lit('{"outer": '), depth), F.lit('{"Inner Key": "'), "event_type", F.lit('"}'), F.repeat(F.lit("}"), depth))
+    found = features.with_pairs(w.table("events").select(F.col("event_id").alias("listing_id"), deep.alias("ai_features")))
+    return found.select("listing_id", F.explode("kv").alias("kv")).select("listing_id", "kv.key", "kv.value")
+
+
 @query
 def doc_leaf_pairs(w: Workspace) -> DataFrame:
     pairs = features.with_pairs(w.documents)
@@ -412,6 +422,14 @@ def page_links_first(w: Workspace) -> DataFrame:
     return pages.distinct_links(views.listing_pages(w.spark, w.sf_dir), 200).select("page_id", "link")
 
 
+@query
+def page_failures(w: Workspace) -> DataFrame:
+    """Pages that cannot be read are marked and the others go on; every fifth page gets a broken declaration."""
+    broken = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("<![foo[x]]>"), "html")).otherwise(F.col("html"))
+    parts = page_parts(broken).alias("p")
+    return w.table("pages").select("page_id", parts).select("page_id", "p.failed", F.col("p.strings").isNull().alias("empty"))
+
+
 @query
 def page_link_canon(w: Workspace) -> DataFrame:
     """Canonical form of every page's own address."""
