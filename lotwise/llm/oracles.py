@@ -27,7 +27,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM words
 ), classes AS (
   SELECT list_sort(s) AS s, len(s) AS n, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY ALL
