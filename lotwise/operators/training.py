@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -20,7 +20,8 @@ from lotwise.functions.text import safe_flag, safe_text
 from lotwise.operators.dedup import keep_first
 from lotwise.operators.medians import column_medians
 from lotwise.operators.ranking import with_global_rank
-from lotwise.session import ensure_checkpoint_dir
+from lotwise.session import ensure_checkpoint_dir, scratch_path
+from lotwise.sources.store import write_table
 
 KEY = "listing_id"
 SEED = 42
@@ -106,6 +107,14 @@ def vocabulary(fitted: PipelineModel) -> dict[str, list[str]]:
     return dict(zip(indexer.getInputCols(), map(list, indexer.labelsArray)))
 
 
+def vocabulary_rows(rows: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """``(feature, pos, category)``: the sorted categories of every column, as an encoder numbers them."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in categorical]))
+    found = rows.select(pairs.alias("p")).select("p.*").where(F.col("category").isNotNull()).distinct()
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("category")) - 1
+    return found.select("feature", place.cast("bigint").alias("pos"), "category")
+
+
 def feature_names(fitted: PipelineModel, numeric: Sequence[str]) -> list[str]:
     """Names of the vector's slots: numbers as they are, indicators as ``<column>_<category>``."""
     return [*numeric, *[f"{c}_{v}" for c, values in vocabulary(fitted).items() for v in values]]
@@ -170,8 +179,8 @@ def fit_price_model(
 ) -> tuple[PriceModel, DataFrame]:
     """Impute, encode, search the grid by cross-validated error, and refit the best on all training rows.
 
-    Returns the model and its scored hold-out rows. The prepared rows are kept in memory or on disk
-    while the search runs, because every tree reads them.
+    Returns the model and its scored hold-out rows, which are written to the shared folder. The prepared rows
+    are kept in memory or on disk while the search runs, because every tree reads them.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     grid = grid or V.GRIDS[market]
@@ -192,7 +201,10 @@ def fit_price_model(
         evaluator=RegressionEvaluator(labelCol=V.TARGET, metricName="mae"), parallelism=parallelism,
     ).fit(train).bestModel
     model = PriceModel(market, PipelineModel([*fitted.stages, best]), numeric, categorical, medians)
-    return model, best.transform(prepared.where("is_test"))
+    scored = best.transform(prepared.where("is_test")).select(KEY, V.TARGET, "prediction")
+    scored = write_table(scored, scratch_path(rows.sparkSession, "holdout"))
+    prepared.unpersist()
+    return model, scored
 
 
 def _suffix(market: str) -> str:

@@ -653,3 +653,6 @@ ORACLES["known_cv"] = "SELECT count(*) AS rows, 1::BIGINT AS max_depth, 1::BIGIN
 ORACLES["page_failures"] = """SELECT page_id, html IS NOT NULL AND page_id % 5 = 0 AS failed,
   html IS NULL OR page_id % 5 = 0 AS empty FROM pages"""
 ORACLES["doc_deep_pairs"] = "SELECT event_id AS listing_id, 'inner key' AS key, event_type AS value FROM events"
+
+ORACLES["market_view_empty"] = """SELECT ''::VARCHAR AS brand, ''::VARCHAR AS model, ''::VARCHAR AS title, 0::DOUBLE AS price,
+  0::DOUBLE AS mileage, ''::VARCHAR AS location, ''::VARCHAR AS url FROM orders WHERE o_totalprice < 0"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
+from lotwise import schemas
 from lotwise import vocab as V
 from lotwise.functions import text as T
 from lotwise.functions.html import page_parts
@@ -631,10 +632,15 @@ def onehot_matrix(w: Workspace) -> DataFrame:
 
 @query
 def encoder_vocabulary(w: Workspace) -> DataFrame:
-    numeric, categorical = training.feature_columns(w.rows_de.columns, "DE")
-    fitted = training.encoder(numeric, categorical).fit(w.rows_de)
-    rows = [(c, i, v) for c, values in training.vocabulary(fitted).items() for i, v in enumerate(values)]
-    return w.spark.createDataFrame(rows, "feature string, pos bigint, category string")
+    _, categorical = training.feature_columns(w.rows_de.columns, "DE")
+    return training.vocabulary_rows(w.rows_de, categorical)
+
+
+@query
+def market_view_empty(w: Workspace) -> DataFrame:
+    """A market without listings has the standard columns with their types and no rows."""
+    none = market.market_view("DE", w.de.listings.where(F.col("price") < 0))
+    return store.table_or_empty(w.spark, none.select(*schemas.EMPTY_VIEW.names), schemas.EMPTY_VIEW)
 
 
 @query

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import types as t
 
-from lotwise.vocab import DE_RAW_COLUMNS, DOCUMENT_FEATURES, US_BOOLEAN, US_KEEP, US_NUMERIC, US_RENAMES
+from lotwise.vocab import DE_RAW_COLUMNS, US_BOOLEAN, US_KEEP, US_NUMERIC, US_RENAMES
 
 
 def text_schema(columns: Iterable[str]) -> t.StructType:
@@ -39,9 +39,6 @@ CLEANED_DE = t.StructType(
         )
     ]
 )
-LISTING_FEATURES = t.StructType(
-    [t.StructField("listing_id", t.LongType())] + [t.StructField(c, t.IntegerType()) for c in DOCUMENT_FEATURES]
-)
 EMPTY_VIEW = t.StructType(
     [
         t.StructField(c, t.DoubleType() if c in ("price", "mileage") else t.StringType())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -61,6 +63,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     root = tempfile.mkdtemp(prefix="lotwise-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 
