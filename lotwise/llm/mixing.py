@@ -114,9 +114,9 @@ def temperature_weights(
         F.coalesce(tokens, F.lit(0.0)).alias("budget"),
         F.when(F.col("tokens") > 0, epochs).otherwise(F.lit(1)).cast("bigint").alias("epochs"),
     )
-    return used.withColumn(
-        "rest", F.greatest(F.floor(F.col("budget") - F.col("epochs") * F.col("tokens") + 1e-6), F.lit(0)).cast("bigint")
-    )
+    rest = F.greatest(F.floor(F.col("budget") - F.col("epochs") * F.col("tokens") + 1e-6), F.lit(0)).cast("bigint")
+    # written, so that Spark knows how small it is: as long as it is, documents meet it without moving to their source
+    return stored(used.withColumn("rest", rest), "weights")
 
 
 def _hash(*parts: Column | int) -> Column:
