@@ -291,9 +291,9 @@ def linked_classes(
         class_of = classed.select("node", "class")
         joined = more.join(class_of.toDF("a", "class_a"), "a").join(class_of.toDF("b", "class_b"), "b")
         merged = components(joined.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
-        final = classed.join(merged.withColumnRenamed("node", "class"), "class", "left").select(
+        final = stored(classed.join(merged.withColumnRenamed("node", "class"), "class", "left").select(
             "node", F.coalesce("component", "class").alias("component")
-        )
+        ), "final")
     return made.select("key", "n", "node").join(final, "node", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), "node", "component"
     )
@@ -302,7 +302,8 @@ def linked_classes(
 def with_smallest_key(classes: DataFrame, key: str = "doc_id", out: str = "component_id") -> DataFrame:
     """Name every class by its smallest key; a text without a class is its own."""
     least = classes.where("component IS NOT NULL").groupBy("component").agg(F.min(key).alias("__least"))
-    return classes.join(least, "component", "left").select(
+    # written, so that both sides of the join are plain and Spark can split a class that holds many rows
+    return classes.join(stored(least, "least"), "component", "left").select(
         key, "n_shingles", F.coalesce(F.col("__least"), F.col(key)).alias(out)
     )
 
