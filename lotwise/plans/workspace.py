@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise import vocab as V
 from lotwise.operators import features, market, scoring, training
 from lotwise.plans import ingest
 from lotwise.session import apply_settings, scratch_path
@@ -16,7 +17,8 @@ from lotwise.sources.store import write_table
 AS_OF = "2026-01-15T12:00:00Z"
 # ids are unique inside a market; every join on them is within one market
 US_BASE = 1_000_000_000
-SMALL_GRID = {"maxDepth": (4,), "stepSize": (0.1,), "maxIter": (5,)}
+#: session setting with other tree counts for a trial, as in "5,10"; without it the grids are searched as they are
+TREE_COUNTS = "lotwise.tree.counts"
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
 
@@ -82,9 +84,14 @@ class Workspace:
     def rows_us(self) -> DataFrame:
         return training.training_rows_us(self.us.listings, self.us.details)
 
+    def grid(self, market: str) -> dict[str, tuple]:
+        """All combinations of the market's grid; only the tree counts can be set otherwise."""
+        counts = self.spark.conf.get(TREE_COUNTS, None)
+        return V.GRIDS[market] | ({"maxIter": tuple(map(int, counts.split(",")))} if counts else {})
+
     @cached_property
     def fitted_us(self) -> tuple[training.PriceModel, DataFrame]:
-        model, scored = training.fit_price_model(self.rows_us, "US", SMALL_GRID)
+        model, scored = training.fit_price_model(self.rows_us, "US", self.grid("US"))
         return model, self._keep("scored_us", scored.select(training.KEY, "price", "prediction"))
 
     @property
