@@ -701,12 +701,16 @@ def holdout_metrics(w: Workspace) -> DataFrame:
 
 @query
 def cv_grid(w: Workspace) -> DataFrame:
-    """Cross-validated search over a small grid; one row with the winner and its hold-out error."""
-    model, scored = training.fit_price_model(w.rows_de, "DE", {"maxDepth": (2, 3), "stepSize": (0.1,), "maxIter": (2,)})
-    best = model.regressor
-    return training.regression_metrics(scored).select(
-        F.lit(best.getOrDefault("maxDepth")).alias("max_depth"), F.lit(best.getNumTrees).alias("trees"), "mae", "rows"
-    )
+    """Cross-validated search over the whole grid of each market; one row per market with the winner and its hold-out error."""
+
+    def winner(market: str, fitted: tuple[training.PriceModel, DataFrame]) -> DataFrame:
+        best = fitted[0].regressor
+        return training.regression_metrics(fitted[1]).select(
+            F.lit(market).alias("market"), F.lit(best.getOrDefault("maxDepth")).alias("max_depth"),
+            F.lit(best.getOrDefault("stepSize")).alias("step_size"), F.lit(best.getNumTrees).alias("trees"), "mae", "rows",
+        )
+
+    return winner("DE", w.fitted_de).unionByName(winner("US", w.fitted_us))
 
 
 @query

@@ -94,6 +94,11 @@ class Workspace:
         model, scored = training.fit_price_model(self.rows_us, "US", self.grid("US"))
         return model, self._keep("scored_us", scored.select(training.KEY, "price", "prediction"))
 
+    @cached_property
+    def fitted_de(self) -> tuple[training.PriceModel, DataFrame]:
+        model, scored = training.fit_price_model(self.rows_de, "DE", self.grid("DE"))
+        return model, self._keep("scored_de", scored.select(training.KEY, "price", "prediction"))
+
     @property
     def known_rows(self) -> DataFrame:
         """Priced rows whose one telling feature has two values and is missing in every seventh row."""

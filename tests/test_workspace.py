@@ -4,7 +4,7 @@ import pytest
 
 from lotwise import vocab as V
 from lotwise.operators import training
-from lotwise.plans import workspace
+from lotwise.plans import registry, workspace
 
 
 @pytest.fixture
@@ -41,3 +41,10 @@ def test_only_tree_counts_can_be_set(spark, searched):
         assert w.grid("DE") == V.GRIDS["DE"] | {"maxIter": (5, 10)}
     finally:
         spark.conf.unset(workspace.TREE_COUNTS)
+
+
+def test_cv_grid_searches_both_markets(spark, searched):
+    w, found = searched
+    rows = {r["market"]: r for r in registry.cv_grid(w).collect()}
+    assert found == V.GRIDS and set(rows) == {"DE", "US"}
+    assert all((r["max_depth"], r["step_size"], r["trees"], r["mae"]) == (6, 0.05, 500, 1.0) for r in rows.values())
