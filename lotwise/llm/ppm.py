@@ -8,7 +8,7 @@ them and one end byte, so probabilities of all texts sum to one.
 
 The log probability of a byte depends on itself and the ``ORDER`` bytes before it alone, a *gram*. So
 
-1. texts are put into chunks by ranges of ids, and every chunk counts its distinct grams and words;
+1. texts are put into chunks by ranges of (id, hash of text), cut by bytes; every chunk counts its distinct grams and words;
 2. counts are summed over chunks; grams that end in the same two context bytes form one branch of the trie and meet in
    one task (shorter contexts have at most 65,536 counts, which every task gets), where each gram gets its log
    probability;
@@ -19,7 +19,7 @@ not sent anywhere: the chunk counts them itself. Counts and values travel as pac
 branch or range of words.
 
 Defined results: null and empty texts have no words and consist of the end; rows with null ids count as training rows,
-go to chunks by their text and keep a null id (values are rounded to four-byte floats, a text's sum is not); repeated rows count and are scored as often as they stand there; with
+stand before all others and keep a null id (values are rounded to four-byte floats, a text's sum is not); repeated rows count and are scored as often as they stand there; with
 no training text at all every byte is equally likely; an empty table gives an empty table.
 """
 
@@ -38,8 +38,12 @@ from lotwise.llm.shingles import mix, word_numbers
 ORDER = 5  # at most 5: what a branch does not share of a gram is packed into four bytes
 START, END = 0xFF, 0xFE  # bytes that no UTF-8 text has
 SYMBOLS = 255  # all bytes and the end, without the start
-#: bytes of text that a chunk has on average
+#: bytes of text that a chunk has on average, and at most about twice as many or those of one text
 CHUNK_BYTES = 40_000_000
+#: bytes that a row counts besides its text
+ROW_BYTES = 64
+#: parts of a chunk whose bytes are summed apart, so that chunks are cut between them
+MARKS = 16
 #: bytes of text that are turned into arrays at once
 PIECE_BYTES = 2_000_000
 
@@ -78,6 +82,14 @@ def _place(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key, all of them there; they are looked up in order, which memory caches serve better."""
+    order = np.argsort(keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.searchsorted(sorted_keys, keys[order])
+    return out
+
+
 class Level:
     """All contexts of one length: their bytes' counts, totals, and what a context excludes from the next shorter one."""
 
@@ -198,9 +210,10 @@ class _Tally:
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, keys: np.ndarray, learns: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, times: np.ndarray) -> None:
         # keys of texts that are not learned from are listed with a count of 0
-        self.waiting.append(_summed(keys[learns]))
+        learns = times > 0
+        self.waiting.append(_summed(keys, times) if times.max(initial=0) > 1 else _summed(keys[learns]))
         if not learns.all():
             others = np.unique(keys[~learns])
             self.waiting.append((others, np.zeros(len(others), np.int64)))
@@ -214,22 +227,93 @@ class _Tally:
         self.waiting, self.held = [], 0
 
 
+def _marks(sizes: DataFrame, mark_bytes: int, heavy_bytes: int) -> DataFrame:
+    """Runs of about ``mark_bytes`` in the order of (key, hash): the first pair and the bytes of each.
+
+    Repeated rows that are heavy together have a run of their own, with the bytes of one of them.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        first = None
+        for batch in batches:
+            found: list[tuple] = []
+            for key, h, size, n in zip(*[c.to_pylist() for c in batch.columns]):
+                heavy = n > 1 and size > heavy_bytes
+                if first is not None and (heavy or held >= mark_bytes):
+                    found.append((*first, held, False))
+                    first, held = None, 0
+                if heavy:
+                    found.append((key, h, size // n, True))
+                else:
+                    first, held = first or (key, h), held + size
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 4, types(batch))], names)
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((*first, held, False), types(batch))], names)
+
+    def types(batch: pa.RecordBatch) -> list[pa.DataType]:
+        return [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.bool_()]
+
+    names = ["key", "h", "bytes", "heavy"]
+    kind = sizes.schema["key"].dataType.simpleString()
+    ordered = sizes.repartitionByRange("key", "h").sortWithinPartitions("key", "h")
+    return ordered.mapInArrow(runs, f"key {kind}, h bigint, bytes bigint, heavy boolean")
+
+
 def _chunked(docs: DataFrame, key: str, text: str, held_out: Column) -> tuple[DataFrame, int]:
-    """``(key, text, held_out, chunk)`` and the number of chunks: ranges of ids with about ``CHUNK_BYTES`` of text."""
-    found = docs.agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
-    ).first()
-    chunks = max(1, -(-found["bytes"] // CHUNK_BYTES))
-    low = found["low"] or 0
-    width = max(1, -(-((found["high"] or 0) - low + 1) // chunks))
-    chunk = F.coalesce(
-        F.floor((F.col(key) - F.lit(low)) / F.lit(width)), -1 - F.pmod(F.xxhash64(text), F.lit(chunks))
-    ).cast("bigint")
+    """``(key, text, held_out, copies, chunk)`` and the number of chunks: ranges of (key, hash of text) with about
+    ``CHUNK_BYTES`` of text.
+
+    Rows that agree in both and have more than that together are one row with a number of ``copies``. Only runs of
+    bytes, some for each chunk, reach the driver.
+    """
     rows = docs.select(
         F.col(key).alias("key"), F.col(text).cast("string").alias("text"),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"), chunk.alias("chunk"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"), F.xxhash64(F.col(text).cast("string")).alias("h"),
     )
-    return rows, chunks
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + ROW_BYTES
+    sizes = stored(rows.groupBy("key", "h").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")), "sizes")
+    marks = _marks(sizes, CHUNK_BYTES // MARKS, CHUNK_BYTES).collect()
+    marks.sort(key=lambda r: (r["key"] is not None, r["key"] if r["key"] is not None else 0, r["h"]))
+    total = sum(r["bytes"] for r in marks)
+    most = -(-total // max(1, -(-total // CHUNK_BYTES)))
+    bounds, held = [], 0
+    for r in marks:
+        if held and held + r["bytes"] // 2 >= most:
+            bounds.append(r)
+            held = 0
+        held += r["bytes"]
+    kind = rows.schema["key"].dataType
+
+    def pairs(found: list) -> Column:
+        return F.array(*[F.struct(F.lit(r["key"]).cast(kind).alias("key"), F.lit(r["h"]).cast("bigint").alias("h")) for r in found])
+
+    if bounds:  # the number of bounds that are not above a row's pair, by halving
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+        cuts, start = pairs(bounds), F.struct(F.lit(0).alias("at"), F.struct("key", "h").alias("own"))
+        chunk = F.aggregate(
+            steps, start,
+            lambda a, s: F.struct(
+                F.when(F.get(cuts, a["at"] + s - 1) <= a["own"], a["at"] + s).otherwise(a["at"]).alias("at"), a["own"].alias("own")
+            ),
+            lambda a: a["at"],
+        ).cast("bigint")
+    else:
+        chunk = F.lit(0).cast("bigint")
+    columns = ["key", "text", "held_out", "copies", "chunk"]
+    rows = rows.withColumn("chunk", chunk).withColumn("copies", F.lit(1).cast("bigint"))
+    if heavy := [r for r in marks if r["heavy"]]:
+        many = F.exists(pairs(heavy), lambda p: p.eqNullSafe(F.struct("key", "h")))
+        once = rows.where(many).groupBy("key", "text", "held_out", "chunk").agg(F.sum("copies").alias("copies"))
+        rows = rows.where(~many).select(columns).unionByName(once)
+    return rows.select(columns), len(bounds) + 1
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Each row as often as ``copies`` says, without long arrays."""
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / 10_000)))
+    some = F.least(F.lit(10_000), F.col("copies") - 10_000 * F.col("__part"))
+    return df.withColumn("__part", part).withColumn("__one", F.explode(F.sequence(F.lit(1).cast("bigint"), some))).drop("__part", "__one", "copies")
 
 
 PACKED = "kind int, chunk bigint, part bigint, items binary, n binary"
@@ -240,6 +324,8 @@ def _tallies(rows: DataFrame, order: int, word_bits: int) -> DataFrame:
 
     def packed(kind: int, chunk: int, part: np.ndarray, items: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         cuts = _cuts(part)
+        if counts.max(initial=0) >> 32:
+            raise OverflowError("a count of one chunk needs more than 32 bits")
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(cuts), kind, np.int32)), pa.array(np.full(len(cuts), chunk, np.int64)),
              pa.array(part[cuts].astype(np.int64)), _binary(items, cuts), _binary(counts.astype(np.uint32), cuts)],
@@ -261,12 +347,12 @@ def _tallies(rows: DataFrame, order: int, word_bits: int) -> DataFrame:
         open_: dict[int, tuple[_Tally, _Tally]] = {}
         for batch in batches:
             numbers = batch.column(2).to_numpy(zero_copy_only=False)
-            learns = ~batch.column(1).to_numpy(zero_copy_only=False)
+            times = np.where(batch.column(1).to_numpy(zero_copy_only=False), 0, batch.column(3).to_numpy())
             for chunk in np.unique(numbers).tolist():
                 rows = np.flatnonzero(numbers == chunk)
                 found, at = open_.setdefault(chunk, (_Tally(), _Tally())), 0
                 for piece in _pieces(batch.column(0).take(pa.array(rows)).to_pylist()):
-                    own = learns[rows[at : at + len(piece)]]
+                    own = times[rows[at : at + len(piece)]]
                     at += len(piece)
                     for t, (keys, sizes) in zip(found, (grams_of(piece, order), _words_of(piece))):
                         t.add(keys, np.repeat(own, sizes))
@@ -277,7 +363,7 @@ def _tallies(rows: DataFrame, order: int, word_bits: int) -> DataFrame:
         for chunk, found in open_.items():
             yield from out(chunk, found)
 
-    return rows.select("text", "held_out", "chunk").mapInArrow(tally, PACKED)
+    return rows.select("text", "held_out", "chunk", "copies").mapInArrow(tally, PACKED)
 
 
 def short_contexts(tallies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -350,7 +436,7 @@ def text_scores(
     tallies = stored(_tallies(rows, order, max(8, (2 * chunks).bit_length())), "tallies")
     words = stored(shared_words(tallies), "words")
     sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "words")]).first()
-    ends = rows.where(~F.col("held_out")).count()
+    ends = rows.where(~F.col("held_out")).agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     total = sums["tokens"] + ends
     distinct = sums["words"] + (1 if ends else 0)
     end_value = float(np.log10(ends + 0.1))
@@ -366,7 +452,7 @@ def text_scores(
         keys, counts = _numbers(shared.column("items"), "<i8")[0], _numbers(shared.column("n"), "<f8")[0]
         place = np.argsort(keys)
         word_keys, word_counts = keys[place], counts[place]
-        held = texts.column("held_out").to_numpy()
+        times = np.where(texts.column("held_out").to_numpy(), 0, texts.column("copies").to_numpy())
         column = texts.column("text")
 
         def pieces() -> Iterator[list[bytes]]:
@@ -376,7 +462,7 @@ def text_scores(
         local, at = _Tally(), 0
         for piece in pieces():  # words of this chunk alone are counted here
             keys, sizes = _words_of(piece)
-            local.add(keys, np.repeat(~held[at : at + len(piece)], sizes))
+            local.add(keys, np.repeat(times[at : at + len(piece)], sizes))
             at += len(piece)
         local.settle()
         elsewhere = _place(word_keys, local.keys)
@@ -387,9 +473,9 @@ def text_scores(
         out: list[list[np.ndarray]] = [[], [], [], []]
         for piece in pieces():
             codes, lengths = grams_of(piece, order)
-            sums_ = np.add.reduceat(gram_logs[np.searchsorted(gram_keys, codes)], np.cumsum(lengths) - lengths)
+            sums_ = np.add.reduceat(gram_logs[_found(gram_keys, codes)], np.cumsum(lengths) - lengths)
             keys, sizes = _words_of(piece)
-            place = np.searchsorted(local.keys, keys)
+            place = _found(local.keys, keys)
             running = np.concatenate([[0.0], np.cumsum(logs[place])])
             seen = np.concatenate([[0], np.cumsum(c[place] > 0)])
             stop = np.cumsum(sizes)
@@ -397,15 +483,15 @@ def text_scores(
                 values.append(v)
         scores, bases, seen_words, sizes = (np.concatenate(v) for v in out)
         return pa.table({
-            "key": texts.column("key"), "held_out": texts.column("held_out"),
+            "key": texts.column("key"), "held_out": texts.column("held_out"), "copies": texts.column("copies"),
             "n_tokens": pa.array(sizes.astype(np.int64) + 1),
             "n_known": pa.array(seen_words.astype(np.int64) + (1 if ends else 0)),
             "base": pa.array(bases + end_value), "score": pa.array(scores),
         })
 
     kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
-    scored = rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, schema)
+    schema = f"key {kind}, held_out boolean, copies bigint, n_tokens bigint, n_known bigint, base double, score double"
+    scored = _repeated(rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, schema))
     floor = float(np.log10(total + 0.1 * (distinct + 1)))
     return scored.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),

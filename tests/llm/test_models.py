@@ -40,6 +40,27 @@ def test_scores_do_not_depend_on_chunks(spark, odd_docs, no_docs, monkeypatch):
     assert ppm.text_scores(no_docs, residue(F.col("doc_id"), 3) == 0).collect() == []
 
 
+def test_chunks_are_cut_by_bytes(spark, monkeypatch):
+    """Clustered ids, outliers, null ids, one id on a third of the rows, and one row many times."""
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", 20_000)
+    rows = [(i // 40 * 10**6 + i % 40, f"text {i} " + "abc " * (i % 50)) for i in range(400)]
+    rows += [(2**62, "far"), (-(2**62), None), (None, "no id"), (None, None), (7, "")]
+    rows += [(10**6 + 3, f"same id {i} " * 9) for i in range(300)] + [(5, "copy of one row " * 9)] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    held = residue(F.col("doc_id"), 3) == 0
+    chunked, chunks = ppm._chunked(docs, "doc_id", "text", held)
+    sizes = chunked.groupBy("chunk").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("b")).collect()
+    assert len(sizes) == chunks > 3 and max(r["b"] for r in sizes) <= 40_000
+    assert chunked.agg(F.sum("copies")).first()[0] == len(rows)
+
+    def plain(found):
+        return sorted((r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["held_out"], r["train_tokens"], round(r["score"], 3), round(r["base_score"], 6)) for r in found)
+
+    parts = plain(ppm.text_scores(docs, held).collect())
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", 10**9)
+    assert parts == plain(ppm.text_scores(docs, held).collect()) and len(parts) == len(rows)
+
+
 def test_known_text_is_likelier(spark):
     rows = [(i, "the cat sat on the mat and looked at the moon") for i in range(1, 20)] + [(50, "qwx zzkj vvq"), (51, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
