@@ -33,11 +33,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    counted = docs.withColumn("__tokens", mixing.word_count(F.col("text")))
-    shares = mixing.source_shares(counted.select("source", "__tokens"), tokens="__tokens")
-    weights = mixing.temperature_weights(shares, repeats=REPEATS)
-    used = mixing.uses(mixing.copies(counted, weights, tokens="__tokens"))
-    return used.select(*docs.columns)
+    # the input's columns travel as one, so that none clashes with a name made on the way
+    counted = docs.select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("n_tokens"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+    )
+    weights = mixing.temperature_weights(mixing.source_shares(counted), repeats=REPEATS)
+    return mixing.uses(mixing.copies(counted, weights)).select("__row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ Without a budget, the least one is taken that uses every source in full at least
 
 Defined results: rows without a source form a source of their own; null and empty texts have no tokens and follow
 their source; a source without tokens takes no part in the weights and is used once; identical rows are used alike;
-other columns are kept and a clash with a name made here is an error of Spark; an empty table gives an empty table.
+other columns are kept, but names made here must be free: a caller with unknown columns packs them into one, as the
+pipeline does; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -47,3 +47,12 @@ def test_stages(spark):
     ids = results["token_ids"].collect()
     assert Counter(r["doc_id"] for r in ids) == Counter(r["doc_id"] for r in mixed)
     assert all(list(r["ids"]) == library.encode_ordinary(good[r["doc_id"]] or "") for r in ids)
+
+
+def test_mixing_keeps_columns_with_names_made_on_the_way(spark):
+    names = ("block", "copies", "epoch", "epochs", "rest", "n_tokens", "size", "left_over", "__tokens", "__source", "__row")
+    docs = spark.range(60).selectExpr("id AS doc_id", "repeat('word ', int(id % 5 + 1)) AS text", "if(id < 50, 'a', 'b') AS source")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    found = pipeline.mixed_sources(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert set(map(tuple, found.collect())) == set(map(tuple, docs.collect()))
