@@ -52,6 +52,8 @@ SENTENCES = {
                    "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
                    "(at your option) any later version.", "SPDX-License-Identifier: GPL-3.0-or-later"),
     "gpl2-later": ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                   "General Public License as published by the Free Software Foundation; either version 2 of the License, or "
+                   "(at your option) any later version.", "you can redistribute it and/or modify it under the terms of the GNU "
                    "General Public License as published by the Free Software Foundation; either version 2 of the License, or "
                    "(at your option) any later version.", "SPDX-License-Identifier: GPL-2.0-or-later"),
     "gpl-hope": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
@@ -79,6 +81,12 @@ SENTENCES = {
 }
 
 # Ordered sequences of sentence identifiers and the licence each stands for.
+#: licences that an identifier alone names, besides those with an identifier among their sentences
+IDENTIFIED = (
+    "BSD-3-Clause", "BSD-2-Clause", "ISC", "GPL-2.0-only", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-3.0", "Unlicense", "EPL-2.0",
+)
+SENTENCES |= {f"spdx-{x.lower()}": (f"SPDX-License-Identifier: {x}",) for x in IDENTIFIED}
 RULES = (
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
@@ -98,6 +106,7 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("MPL-2.0", ("mpl-2",)),
+    *((x, (f"spdx-{x.lower()}",)) for x in IDENTIFIED),
 )
 
 ANY_WORDS = 12

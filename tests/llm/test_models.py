@@ -155,6 +155,14 @@ def test_mixing_in_blocks(spark, monkeypatch):
     assert mixing.copies(empty, mixing.temperature_weights(mixing.source_shares(empty), repeats=2.0)).collect() == []
 
 
+def test_licences_by_identifier(spark):
+    names = ["BSD-3-Clause", "BSD-2-Clause", "ISC", "GPL-2.0-only", "LGPL-2.1-or-later", "AGPL-3.0-only", "CC0-1.0", "Unlicense", "EPL-2.0", "CC-BY-3.0"]
+    grant = "Foo is free software; you " + licences.SENTENCES["gpl2-later"][0].split("; you ", 1)[1]
+    texts = [(f"// SPDX-License-Identifier: {n}\ncode", n) for n in names] + [(grant, "GPL-2.0-or-later")]
+    df = spark.createDataFrame(texts, "text string, name string").select("name", licences.scan(F.col("text")).alias("f"))
+    assert [list(r["f"]["licences"]) for r in df.collect()] == [[n] for _, n in texts]
+
+
 def test_licences(spark, odd_docs):
     grant = " ".join(licences.SENTENCES["bsd-grant"] + licences.SENTENCES["bsd-source"] + licences.SENTENCES["bsd-binary"])
     names = licences.SENTENCES["bsd-names"][0].replace("*", "the Old Mill Company")
