@@ -49,4 +49,49 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(l.component_id
 FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN least_of l ON l.start = c.rep
 """
 
-ORACLES = {"op3_chat": OP3, "op8_ngram_join": OP8}
+
+
+def _op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round is a pair of tables: nearest entries by comparing with all, and the entries' new places."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rn, p, any_value(v) AS v, min({entries} * list_sum(list_transform(range(1, len(v) + 1),
+    lambda i: (v[i] - c[i]) * (v[i] - c[i])))::HUGEINT + e) AS best
+  FROM cut JOIN c{r} USING (p) GROUP BY rn, p
+)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS MATERIALIZED (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT p, CAST(best % {entries} AS BIGINT) AS e, i, sum(v[i])::HUGEINT AS s, count(*) AS n
+    FROM a{r}, (SELECT unnest(range(1, (SELECT any_value(len(v)) FROM cut) + 1)) AS i) GROUP BY ALL
+  ) GROUP BY p, e
+), c{r + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m USING (p, e)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS v,
+    row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rn
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT rn, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS v
+  FROM kept, (SELECT unnest(range(0, {parts})) AS p)
+), c0 AS MATERIALIZED (
+  SELECT p, rn - 1 AS e, v AS c FROM cut WHERE rn <= {entries}
+),{",".join(steps)},
+coded AS (
+  SELECT rn, string_agg(printf('%02x', CAST(best % {entries} AS BIGINT)), '' ORDER BY p) AS code,
+    CAST(sum(best // {entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY rn
+), books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rn), books
+"""
+
+
+ORACLES = {"op3_chat": OP3, "op8_ngram_join": OP8, "op12_codes": _op12()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, forest, licences, mixing, ngram_join, packing, ppm, quality, spots
+from lotwise.llm import bpe, chat, codes, forest, licences, mixing, ngram_join, packing, ppm, quality, spots
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 from lotwise.llm.oracles import ORACLES
 
@@ -120,8 +120,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.read_packed(spark, path, with_ids=False)
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_bpe, op2_spots, op3_chat, op4_forest, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
+        op12_codes,
     )
 }
