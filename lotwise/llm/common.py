@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +37,14 @@ def text_or_empty(column: str = "text") -> Column:
 def hex_digest(c: Column) -> Column:
     """Lower-case hex SHA-256 of a text's UTF-8 bytes, or of bytes."""
     return F.sha2(c.cast("binary"), 256)
+
+
+def text_slices(batch: pa.RecordBatch, column: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into slices whose texts have about ``chars`` bytes, one row at least; bounds a worker's memory."""
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    slot = (np.cumsum(sizes) - sizes) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)

@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm import bpe, chat, codes, forest, licences, mixing, ngram_join, packing, ppm, quality, spots
+from lotwise.llm import align, bpe, chat, codes, forest, licences, mixing, ngram_join, packing, ppm, quality, spots, toxicity
 from lotwise.llm.common import hex_digest, residue, table, text_or_empty
 from lotwise.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: no source's tokens are used more often than this
@@ -120,13 +122,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.read_packed(spark, path, with_ids=False)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair = align.Pair(public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL))
+    return align.alignment(table(spark, sf_dir, "documents"), pair)
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_scores(docs, labels, residue(F.col("key"), 5) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_bpe, op2_spots, op3_chat, op4_forest, op5_mixing, op6_quality, op7_licences, op8_ngram_join, op9_ppm, op10_packing,
-        op12_codes,
+        op11_align, op12_codes, op13_toxicity,
     )
 }
