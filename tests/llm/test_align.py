@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections import Counter
 
@@ -11,17 +12,36 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lotwise.llm import align, queries
 
 SF_DIR = "/root/testdata/sf0.001"
+BLOB = open(vocabularies.path("byte_bpe_50k.json"), "rb").read()
+OURS = align.ByteSide(BLOB, vocabularies.PATTERN)
 
 
 @pytest.fixture(scope="module")
 def pair():
-    return align.Pair(vocabularies.path("byte_bpe_50k.json"), vocabularies.path("piece_bpe_32k.model"))
+    return align.Pair(vocabularies.path("byte_bpe_50k.json"), vocabularies.path("piece_bpe_32k.model"), vocabularies.PATTERN)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet=st.sampled_from(list("abth .,é中😀1\n'sS\t<|>")), max_size=80))
+def test_ids_are_those_of_the_library(text):
+    library = Tokenizer.from_file(vocabularies.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    assert OURS.ranked and OURS.ids([text]) == [library.encode(" " + text, add_special_tokens=False).ids]
+
+
+def test_other_vocabularies_are_encoded_by_the_library():
+    spec = json.loads(BLOB)
+    spec["pre_tokenizer"]["use_regex"] = False
+    side = align.ByteSide(json.dumps(spec).encode(), vocabularies.PATTERN)
+    assert side.ranked is None and side.bytes_of(side.ids(["two words"])[0]) == b" two words"
 
 
 def plain_tokens():
