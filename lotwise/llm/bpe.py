@@ -13,7 +13,8 @@ any length are encoded whole; rows, repeated or not, are independent of each oth
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -23,10 +24,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.common import text_slices
+
 #: pieces of text whose ids a worker remembers; a matter of memory and speed only
-REMEMBERED = 200_000
-#: pairs of tokens whose verdict a worker remembers
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED = 100_000
+#: places for the verdicts on pairs of tokens, a power of two; eight bytes each
+PAIR_PLACES = 1 << 20
+#: bytes of text that are encoded at a time
+SLICE_BYTES = 4_000_000
 
 
 def read_ranks(blob: bytes) -> dict[bytes, int]:
@@ -41,7 +46,9 @@ class Merges:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # one verdict a place: a pair of ids shifted by one, the last bit says whether they fit
+        self.pairs = array("q", [-1]) * PAIR_PLACES
+        self.bits = max(self.tokens).bit_length()
         # tokens that merging their own bytes does not give can stand for a whole piece only
         self.unreachable = unreachable if unreachable is not None else frozenset(
             rank for token, rank in ranks.items() if self.merge(token) != [rank]
@@ -65,13 +72,13 @@ class Merges:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens can stand next to each other in an encoding."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            known = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-            self.pairs[left, right] = known
-        return known
+        pair = left << self.bits | right
+        place = pair * 0x9E3779B1 >> 7 & PAIR_PLACES - 1
+        known = self.pairs[place]
+        if known >> 1 != pair:
+            known = pair << 1 | (self.merge(self.tokens[left] + self.tokens[right]) == [left, right])
+            self.pairs[place] = known
+        return known & 1 == 1
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -164,16 +171,20 @@ class TextEncoding:
 
 
 class _Remembered(dict):
-    """Ids of pieces as little-endian 32-bit bytes."""
+    """Ids of pieces as little-endian 32-bit bytes. Half of them at least are the latest ones; pieces that are met again
+    move to the new half, the others go when it is full."""
 
     def __init__(self, merges: Merges) -> None:
         super().__init__()
-        self.merges = merges
+        self.merges, self.earlier = merges, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        ids = self.earlier.get(piece)
+        if ids is None:
+            ids = np.array(self.merges.encode_piece(piece.encode()), "<i4").tobytes()
+        if len(self) >= REMEMBERED // 2:
+            self.earlier = dict(self)
             self.clear()
-        ids = np.array(self.merges.encode_piece(piece.encode()), "<i4").tobytes()
         self[piece] = ids
         return ids
 
@@ -196,6 +207,12 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
+    def id_lists(self, texts: pa.Array) -> pa.Array:
+        """Ids of every text; null gives an empty list."""
+        parts = [self.encode_bytes(t) if t else b"" for t in texts.to_pylist()]
+        ends = np.cumsum([0] + [len(p) // 4 for p in parts])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.merges.tokens.__getitem__, ids))
 
@@ -206,6 +223,12 @@ def encoder(blob: bytes, pattern: str, unreachable: frozenset[int] | None = None
     return Encoder(blob, pattern, unreachable)
 
 
+@lru_cache(maxsize=2)
+def token_table(blob: bytes) -> dict[int, bytes]:
+    """Bytes of each id; all that decoding needs."""
+    return {rank: token for token, rank in read_ranks(blob).items()}
+
+
 class Codec:
     """Column functions for one vocabulary file.
 
@@ -219,19 +242,24 @@ class Codec:
         unreachable = encoder(blob, pattern).merges.unreachable
 
         def encode_batch(texts: pa.Array) -> pa.Array:
-            own = encoder(blob, pattern, unreachable)
-            parts = [own.encode_bytes(t) if t else b"" for t in texts.to_pylist()]
-            ends = np.cumsum([0] + [len(p) // 4 for p in parts])
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+            own, batch = self.encoder(), pa.RecordBatch.from_arrays([texts], ["text"])
+            parts = [own.id_lists(some.column(0)) for some in text_slices(batch, 0, SLICE_BYTES)]
+            return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
         def decode_batch(ids: pa.Array) -> pa.Array:
-            tokens = encoder(blob, pattern, unreachable).merges.tokens.__getitem__
-            return pa.array([b"".join(map(tokens, row)) if row else b"" for row in _lists(ids)], pa.binary())
+            return decoded_lists(token_table(blob), ids)
 
+        self.blob, self.pattern, self.unreachable = blob, pattern, unreachable
         # each is run once per row, also when several columns are derived from its result
         self._encode = F.arrow_udf(encode_batch, "array<int>").asNondeterministic()
         self._decode = F.arrow_udf(decode_batch, "binary").asNondeterministic()
 
+    def __getstate__(self) -> dict:
+        return {n: getattr(self, n) for n in ("blob", "pattern", "unreachable")}
+
+    def encoder(self) -> Encoder:
+        return encoder(self.blob, self.pattern, self.unreachable)
+
     def encode(self, text: Column) -> Column:
         """Ids of a text column; null gives an empty list."""
         return self._encode(text.cast("string"))
@@ -248,9 +276,37 @@ def _lists(ids: pa.Array) -> Iterator[list[int]]:
         yield values[start:end].tolist() if ok else []
 
 
-def encode(df: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
-    """Add the ids of ``text`` as ``array<int>`` column ``out`` (replacing a column of that name)."""
-    return df.withColumn(out, codec.encode(F.col(text)))
+def decoded_lists(tokens: dict[int, bytes], ids: pa.Array) -> pa.Array:
+    """Bytes of every list of ids."""
+    return pa.array([b"".join(map(tokens.__getitem__, row)) for row in _lists(ids)], pa.binary())
+
+
+def encode(
+    df: DataFrame, codec: Codec, text: str = "text", out: str = "ids", decoded: str | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Add the ids of ``text`` as ``array<int>`` column ``out`` and, with ``decoded``, the bytes these ids stand for.
+
+    Both come from one pass over some megabytes of text at a time, however many rows or bytes a batch has. Columns of
+    these names are replaced; of the others, those in ``keep`` stay (all without it).
+    """
+    new = [out, *([decoded] if decoded else [])]
+    kept = [c for c in (df.columns if keep is None else keep) if c not in new]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("__encoded"))
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec.encoder()
+        for batch in batches:
+            for some in text_slices(batch, len(kept), SLICE_BYTES):
+                ids = own.id_lists(some.column(len(kept)))
+                more = [decoded_lists(own.merges.tokens, ids)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*some.columns[: len(kept)], ids, *more], [*kept, *new])
+
+    schema = [*kinds, f"`{out}` array<int>", *([f"`{decoded}` binary"] if decoded else [])]
+    # replaced columns keep their places
+    shown = [c for c in (df.columns if keep is None else keep) if c in (*kept, *new)]
+    shown += [c for c in new if c not in shown]
+    return source.mapInArrow(run, ", ".join(schema)).select(*[F.col(f"`{c}`") for c in shown])
 
 
 def decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "decoded") -> DataFrame:

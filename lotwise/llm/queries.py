@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import align, bpe, chat, codes, forest, licences, mixing, ngram_join, packing, ppm, quality, spots, toxicity
-from lotwise.llm.common import hex_digest, residue, table, text_or_empty
+from lotwise.llm.common import hex_digest, residue, table
 from lotwise.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -25,8 +25,7 @@ REPEATS = 3.0
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Codec(public_tokenizers.path(BPE_VOCABULARY), public_tokenizers.PATTERN)
-    docs = table(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
-    done = bpe.decode(bpe.encode(docs, codec).drop("text"), codec)
+    done = bpe.encode(table(spark, sf_dir, "documents"), codec, decoded="decoded", keep=["doc_id"])
     return done.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         hex_digest(F.array_join("ids", ",")).alias("ids_sha256"), hex_digest(F.col("decoded")).alias("decoded_sha256"),
@@ -123,7 +122,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pair = align.Pair(public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL))
+    pair = align.Pair(public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL), public_tokenizers.PATTERN)
     return align.alignment(table(spark, sf_dir, "documents"), pair)
 
 
