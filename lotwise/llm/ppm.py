@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import stored
+from lotwise.llm.common import stored, text_slices
 from lotwise.llm.shingles import mix, word_numbers
 
 ORDER = 5  # at most 5: what a branch does not share of a gram is packed into four bytes
@@ -182,9 +182,16 @@ def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 def _numbers(column: pa.ChunkedArray | pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Packed numbers of a binary column one after the other, and how many each row has."""
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), kind), np.array([len(r) for r in rows], np.int64) // np.dtype(kind).itemsize
+    """Packed numbers of a binary column one after the other, and how many each row has; copied once at most."""
+    values, sizes = [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+    for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        _, offsets, data = part.buffers()
+        if len(part):
+            at = np.frombuffer(offsets, np.int32)[part.offset : part.offset + len(part) + 1].astype(np.int64)
+            if data is not None:
+                values.append(np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind))
+            sizes.append(np.diff(at) // np.dtype(kind).itemsize)
+    return (values[1] if len(values) == 2 else np.concatenate(values)), np.concatenate(sizes)
 
 
 def _cuts(keys: np.ndarray) -> np.ndarray:
@@ -443,21 +450,31 @@ def text_scores(
     known = gram_values(tallies, short_contexts(tallies), order).unionByName(words.drop("tokens", "words"))
 
     def score(texts: pa.Table, facts: pa.Table) -> pa.Table:
-        kind = facts.column("kind").to_numpy()
-        grams, shared = (facts.filter(pa.array(kind == k)) for k in (0, 1))
+        kind, part = (facts.column(c).to_numpy() for c in ("kind", "part"))
+        # a row's grams are in order already, so rows in the order of branches are all of them in order, but for
+        # branches to which several tasks gave rows
+        rows_, order_ = np.flatnonzero(kind == 0), np.argsort(part[kind == 0], kind="stable")
+        grams, own_branch = facts.take(pa.array(rows_[order_])).select(["items", "n"]), part[rows_[order_]]
         rest, sizes = _numbers(grams.column("items"), "<u4")
-        keys = _join_grams(np.repeat(grams.column("part").to_numpy(), sizes), rest)
-        place = np.argsort(keys)
-        gram_keys, gram_logs = keys[place], _numbers(grams.column("n"), "<f4")[0][place].astype(float)
+        gram_logs = _numbers(grams.column("n"), "<f4")[0]
+        gram_keys = np.repeat(own_branch.astype(np.int64) << 32, sizes)
+        gram_keys |= rest
+        del rest
+        if (own_branch[1:] == own_branch[:-1]).any():
+            place = np.argsort(gram_keys, kind="stable")
+            gram_keys, gram_logs = gram_keys[place], gram_logs[place]
+        shared = facts.filter(pa.array(kind == 1)).select(["items", "n"])
         keys, counts = _numbers(shared.column("items"), "<i8")[0], _numbers(shared.column("n"), "<f8")[0]
         place = np.argsort(keys)
         word_keys, word_counts = keys[place], counts[place]
+        del keys, counts, place, shared, facts
         times = np.where(texts.column("held_out").to_numpy(), 0, texts.column("copies").to_numpy())
-        column = texts.column("text")
+        only = texts.select(["text"])
 
         def pieces() -> Iterator[list[bytes]]:
-            for a in range(0, len(column), 1000):
-                yield from _pieces(column.slice(a, 1000).to_pylist())
+            for batch in only.to_batches():
+                for some in text_slices(batch, 0, PIECE_BYTES):
+                    yield from _pieces(some.column(0).to_pylist())
 
         local, at = _Tally(), 0
         for piece in pieces():  # words of this chunk alone are counted here
@@ -473,7 +490,9 @@ def text_scores(
         out: list[list[np.ndarray]] = [[], [], [], []]
         for piece in pieces():
             codes, lengths = grams_of(piece, order)
-            sums_ = np.add.reduceat(gram_logs[_found(gram_keys, codes)], np.cumsum(lengths) - lengths)
+            branch, rest = _split_grams(codes)
+            logs_ = gram_logs[_found(gram_keys, branch << 32 | rest)].astype(float)
+            sums_ = np.add.reduceat(logs_, np.cumsum(lengths) - lengths)
             keys, sizes = _words_of(piece)
             place = _found(local.keys, keys)
             running = np.concatenate([[0.0], np.cumsum(logs[place])])
