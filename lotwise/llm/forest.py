@@ -9,13 +9,14 @@ candidates are compared exactly, in double precision, and the best of all shards
 How many candidates are needed for a given recall is a matter of the data: the less neighbours stand out, the more.
 The default is set for vectors without any structure; it is a share of a shard and does not depend on the table's size.
 
-Among vectors that are equal only the ``neighbours + 1`` with the smallest numbers can be among the best, so the others
-are left out before anything is shuffled; results are the same, and a vector that a third of the rows share is no load.
+Among vectors that are equal only rows of the ``neighbours + 1`` smallest numbers can be among the best (a query's own
+number takes no part), and of each number ``neighbours`` rows at most. The others are left out before anything is
+shuffled; results are the same, and a vector or a number that a third of the rows share is no load.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, neither as queries
 nor as candidates; vectors of another length than the query's are not comparable and never found; rows with null
 numbers are no queries but can be found; repeated rows are found as often as they stand there, never by their own
-number; fewer candidates than asked for are all returned; ties go to the smaller number (null last); an empty table
+number; a number that has several vectors is a query with each of them, with ranks of its own; fewer candidates than asked for are all returned; ties go to the smaller number (null last); an empty table
 gives an empty table.
 """
 
@@ -97,16 +98,16 @@ class Forest:
 
 
 def _best(forest: Forest, numbers: np.ndarray, there: np.ndarray, ids: list, queries: np.ndarray, k: int, share: float):
-    """``(query, number, score)`` of the best candidates of this shard."""
+    """``(query, vector, number, score)`` of the best candidates of this shard, the vector by its place in ``queries``."""
     lengths = np.sqrt((forest.rows * forest.rows).sum(axis=1))
     wanted = max(4 * k, int(np.ceil(share * len(forest.rows))))
-    for query, vector, found in zip(ids, queries, forest.candidates(queries, wanted)):
+    for place, (query, vector, found) in enumerate(zip(ids, queries, forest.candidates(queries, wanted))):
         found = found[~there[found] | (numbers[found] != query)]
         # row by row, so that equal vectors have equal scores
         scores = (forest.rows[found] * vector).sum(axis=1) / (lengths[found] * np.sqrt((vector * vector).sum()))
         first = np.lexsort((numbers[found], ~there[found], -scores))[:k]
         for i in first.tolist():
-            yield query, int(numbers[found[i]]) if there[found[i]] else None, float(scores[i])
+            yield query, place, int(numbers[found[i]]) if there[found[i]] else None, float(scores[i])
 
 
 def nearest(
@@ -116,8 +117,10 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows found for every row that ``is_query`` (a condition on
     ``key``) holds for, by the largest cosine."""
     rows = usable(vectors.select(F.col(key).cast("bigint").alias("key"), F.col(vector).alias("vector")), "vector")
+    same = Window.partitionBy("vector", "key").orderBy("key")
+    once = rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k)
     alike = Window.partitionBy("vector").orderBy(F.col("key").asc_nulls_last())
-    kept = rows.withColumn("place", F.row_number().over(alike)).where(F.col("place") <= k + 1).drop("place")
+    kept = once.withColumn("place", F.dense_rank().over(alike)).where(F.col("place") <= k + 1).drop("place")
     total = kept.count()
     shards = max(1, -(-total // SHARD_ROWS))
     asked = rows.where(is_query & F.col("key").isNotNull()).dropDuplicates(["key", "vector"])
@@ -127,11 +130,11 @@ def nearest(
     stored_side = kept.select("key", "vector", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     block = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(blocks)).cast("int")
     query_side = asked.select(
-        "key", "vector", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"), block.alias("block")
+        "key", "vector", F.xxhash64("vector").alias("mark"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"), block.alias("block")
     )
 
-    def matrix(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Numbers, whether they are there, and vectors, for each length of vectors."""
+    def matrix(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]]:
+        """Numbers, whether they are there, vectors, and marks of queries, for each length of vectors."""
         table = table.combine_chunks()
         column = table.column("vector")
         lengths = np.array([len(v) for v in column.to_pylist()])
@@ -139,24 +142,25 @@ def nearest(
             some = table.filter(pa.array(lengths == width))
             values = np.array(some.column("vector").to_pylist(), float).reshape(-1, width)
             keys = some.column("key")
-            yield keys.fill_null(0).to_numpy(), keys.is_valid().to_numpy(), values
+            marks = some.column("mark").to_numpy() if "mark" in some.column_names else None
+            yield keys.fill_null(0).to_numpy(), keys.is_valid().to_numpy(), values, marks
 
     def answer(entries: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if len(entries) and len(queries):
             asked_by_width = {q[2].shape[1]: q for q in matrix(queries)}
-            for numbers, there, values in matrix(entries):
+            for numbers, there, values, _ in matrix(entries):
                 if values.shape[1] in asked_by_width:
-                    ids, _, wanted = asked_by_width[values.shape[1]]
+                    ids, _, wanted, marks = asked_by_width[values.shape[1]]
                     order = np.lexsort((numbers,))
                     forest = Forest(values[order], trees, bits, seed)
-                    found += _best(forest, numbers[order], there[order], ids.tolist(), wanted, k, share)
-        return pa.table({
-            "query_id": pa.array([f[0] for f in found], pa.int64()), "vec_id": pa.array([f[1] for f in found], pa.int64()),
-            "score": pa.array([f[2] for f in found], pa.float64()),
-        })
+                    best = _best(forest, numbers[order], there[order], ids.tolist(), wanted, k, share)
+                    found += [(q, int(marks[place]), n, score) for q, place, n, score in best]
+        kinds = (("query_id", pa.int64()), ("mark", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()))
+        return pa.table({name: pa.array([f[i] for f in found], kind) for i, (name, kind) in enumerate(kinds)})
 
     by = ["shard", "block"]
-    met = stored_side.groupBy(by).cogroup(query_side.groupBy(by)).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    met = stored_side.groupBy(by).cogroup(query_side.groupBy(by)).applyInArrow(
+        answer, "query_id bigint, mark bigint, vec_id bigint, score double")
+    best = Window.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
     return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

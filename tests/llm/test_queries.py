@@ -92,6 +92,19 @@ def test_odd_vectors(spark):
     assert forest.nearest(df.where("1 = 0"), forest.F.col("key") % 10 == 0).collect() == []
 
 
+def test_repeated_query_numbers(spark):
+    """Rows of the query's own number hide no other row, and each of its vectors is a query of its own."""
+    rows = [(50, [1.0, 0.0])] * 6 + [(51, [1.0, 0.0]), (52, [0.0, 1.0]), (60, [1.0, 0.0]), (60, [0.0, 1.0])] + [(61, [1.0, 1.0])] * 3
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = forest.nearest(df, forest.F.col("key") % 10 == 0, k=2).collect()
+    by = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        by.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], round(r["score"], 6)))
+    assert by[50, 1] == [(51, 1.0)] and by[50, 2] == [(60, 1.0)]
+    # one query of number 60 looks along each axis
+    assert sorted(by[60, 1]) == [(50, 1.0), (52, 1.0)] and sorted(by[60, 2]) == [(50, 1.0), (61, round(0.5**0.5, 6))]
+
+
 def test_base_of_language_scores(spark, texts):
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
     counts = Counter()
