@@ -80,19 +80,10 @@ def depreciation(df: DataFrame, score: Scorer, key: str = "subject_id") -> DataF
     return used.select(key, "price_new", "price_used", (F.col("price_new") - F.col("price_used")).alias("loss"))
 
 
-def price_report(
-    explained: DataFrame, market: str, key: str = "subject_id", names: Sequence[str] = ()
-) -> DataFrame:
-    """One JSON text per car: rounded price, currency, all rounded contributions.
-
-    ``names`` are all features of the model; those without a contribution are reported with 0.
-    """
+def price_report(explained: DataFrame, market: str, key: str = "subject_id") -> DataFrame:
+    """One JSON text per car: rounded price, currency, and all rounded contributions that ``explained`` lists."""
     entries = F.transform("contributions", lambda c: F.struct(c["feature"].alias("key"), F.round(c["contribution"], 2).alias("value")))
     impacts = F.map_from_entries(entries)
-    if names:
-        impacts = F.map_from_arrays(
-            F.array(*map(F.lit, names)), F.array(*[F.coalesce(F.try_element_at(impacts, F.lit(n)), F.lit(0.0)) for n in names])
-        )
     return explained.select(
         key,
         F.to_json(

@@ -4,27 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from statistics import fmean
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
+from pyspark.util import inheritable_thread_target
 
 from lotwise import vocab as V
 from lotwise.functions.text import safe_flag, safe_text
 from lotwise.operators.dedup import keep_first
 from lotwise.operators.medians import column_medians
-from lotwise.operators.ranking import with_global_rank
+from lotwise.operators.ranking import with_global_rank, with_ordinal
 from lotwise.session import ensure_checkpoint_dir, scratch_path
-from lotwise.sources.store import write_table
+from lotwise.sources.store import require_rows, write_table
 
 KEY = "listing_id"
 SEED = 42
+#: training rows that make a task of their own; every tree level is a job, so small tables are kept in few tasks
+ROWS_PER_TASK = 50_000
 
 
 def _parents(listings: DataFrame, market: str) -> DataFrame:
@@ -111,8 +115,7 @@ def vocabulary_rows(rows: DataFrame, categorical: Sequence[str]) -> DataFrame:
     """``(feature, pos, category)``: the sorted categories of every column, as an encoder numbers them."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in categorical]))
     found = rows.select(pairs.alias("p")).select("p.*").where(F.col("category").isNotNull()).distinct()
-    place = F.row_number().over(Window.partitionBy("feature").orderBy("category")) - 1
-    return found.select("feature", place.cast("bigint").alias("pos"), "category")
+    return with_ordinal(found, ["feature"], ["category"], "pos", start=0).select("feature", "pos", "category")
 
 
 def feature_names(fitted: PipelineModel, numeric: Sequence[str]) -> list[str]:
@@ -136,7 +139,7 @@ def split_rows(rows: DataFrame, test_share: float = 0.2, folds: int = 3, seed: i
     """
     hashed = rows.withColumn("__h", F.xxhash64(KEY, F.lit(seed)))
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ranked = with_global_rank(hashed, "__h", "__r", block_width=2**44)
+    ranked = with_global_rank(hashed, "__h", "__r", block_width=2**44, ties=[KEY])
     return (
         ranked.withColumn("is_test", F.col("__r") <= F.ceil(total * F.lit(test_share)))
         .withColumn("fold", (F.col("__r") % folds).cast("int"))
@@ -173,33 +176,72 @@ class PriceModel:
         return self.pipeline.stages[-1]
 
 
+@dataclass(frozen=True)
+class Choice:
+    """One combination of a grid and its cross-validated mean absolute error."""
+
+    params: dict[str, float]
+    error: float
+
+
+def search(
+    train: DataFrame, booster: GBTRegressor, grid: Mapping[str, Sequence], folds: int = 3, parallelism: int | None = None
+) -> list[Choice]:
+    """Every combination of ``grid`` over ``train`` with its ``fold``, in the order of the grid.
+
+    A tree depends on the trees before it and on its own seed, not on those to come: the first trees of a long fit
+    *are* the shorter fit. So each combination of the other parameters is fitted once per fold, with the largest
+    number of trees, and judged at every number. Fits run side by side, as many as there are cores.
+    """
+    spark = train.sparkSession
+    counts = list(grid.get("maxIter", [booster.getMaxIter()]))
+    others = [n for n in grid if n != "maxIter"]
+    combinations = list(product(*(grid[n] for n in others)))
+
+    def judged(job: tuple[tuple, int]) -> list[float]:
+        values, fold = job
+        params = {booster.getParam(n): v for n, v in zip(others, values)} | {booster.maxIter: max(counts)}
+        fitted = booster.fit(train.where(F.col("fold") != fold), params)
+        errors = fitted.evaluateEachIteration(train.where(F.col("fold") == fold), "absolute")
+        return [errors[c - 1] for c in counts]
+
+    jobs = list(product(combinations, range(folds)))
+    with ThreadPool(min(len(jobs), parallelism or spark.sparkContext.defaultParallelism)) as pool:
+        found = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(judged), jobs)))
+    out = []
+    for choice in product(*grid.values()):
+        params = dict(zip(grid, choice))
+        place = counts.index(params.get("maxIter", counts[0]))
+        values = tuple(params[n] for n in others)
+        out.append(Choice(params, fmean(found[values, fold][place] for fold in range(folds))))
+    return out
+
+
 def fit_price_model(
     rows: DataFrame, market: str, grid: Mapping[str, Sequence] | None = None, folds: int = 3,
-    parallelism: int = 2, test_share: float = 0.2, subsets: str = "auto",
+    parallelism: int | None = None, test_share: float = 0.2, subsets: str = "auto",
 ) -> tuple[PriceModel, DataFrame]:
     """Impute, encode, search the grid by cross-validated error, and refit the best on all training rows.
 
-    Returns the model and its scored hold-out rows, which are written to the shared folder. The prepared rows
-    are kept in memory or on disk while the search runs, because every tree reads them.
+    Returns the model and its scored hold-out rows, which are written to the shared folder. Of equal errors the
+    first in the grid wins. The prepared rows are kept in memory or on disk while the search runs, because every
+    tree reads them.
     """
     ensure_checkpoint_dir(rows.sparkSession)
     grid = grid or V.GRIDS[market]
-    filled, medians = impute(eligible(rows, market), market)
+    kept = require_rows(eligible(rows, market), "no row is left to train on")
+    filled, medians = impute(kept, market)
     numeric, categorical = feature_columns(filled.columns, market)
     fitted = encoder(numeric, categorical).fit(filled)
     prepared = split_rows(fitted.transform(filled), test_share, folds).select(
         KEY, V.TARGET, "features", "is_test", "fold"
     )
     prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    train = prepared.where(~F.col("is_test"))
+    train = prepared.coalesce(1 + prepared.count() // ROWS_PER_TASK).where(~F.col("is_test"))
     booster = GBTRegressor(labelCol=V.TARGET, seed=SEED, featureSubsetStrategy=subsets, cacheNodeIds=True)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(booster.getParam(name), list(values))
-    best = CrossValidator(
-        estimator=booster, estimatorParamMaps=builder.build(), numFolds=folds, foldCol="fold",
-        evaluator=RegressionEvaluator(labelCol=V.TARGET, metricName="mae"), parallelism=parallelism,
-    ).fit(train).bestModel
+    choices = search(train, booster, grid, folds, parallelism)
+    chosen = min(choices, key=lambda c: c.error)
+    best = booster.fit(train, {booster.getParam(n): v for n, v in chosen.params.items()})
     model = PriceModel(market, PipelineModel([*fitted.stages, best]), numeric, categorical, medians)
     scored = best.transform(prepared.where("is_test")).select(KEY, V.TARGET, "prediction")
     scored = write_table(scored, scratch_path(rows.sparkSession, "holdout"))

@@ -7,6 +7,9 @@ from math import factorial
 import numpy as np
 import pytest
 from conftest import values
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from lotwise.operators import explain as X
@@ -100,15 +103,49 @@ def test_grid_search_takes_the_lower_error(rows):
     assert model.regressor.getOrDefault("maxDepth") == 3 and model.regressor.getNumTrees == 2
 
 
+def test_staged_search_equals_plain_cross_validation(rows):
+    """One long fit judged at every count gives the errors of one fit per count."""
+    numeric, categorical = T.feature_columns(rows.columns, "DE")
+    filled, _ = T.impute(rows, "DE")
+    train = T.split_rows(T.encoder(numeric, categorical).fit(filled).transform(filled), 0.0).select("price", "features", "fold").cache()
+    booster = GBTRegressor(labelCol="price", seed=T.SEED)
+    grid = {"maxDepth": (2, 3), "stepSize": (0.3,), "maxIter": (1, 3)}
+    params = ParamGridBuilder()
+    for name, options in grid.items():
+        params = params.addGrid(booster.getParam(name), list(options))
+    plain = CrossValidator(
+        estimator=booster, estimatorParamMaps=params.build(), numFolds=3, foldCol="fold",
+        evaluator=RegressionEvaluator(labelCol="price", metricName="mae"),
+    ).fit(train)
+    found = T.search(train, booster, grid)
+    assert [c.params for c in found] == [{p.name: v for p, v in m.items()} for m in params.build()]
+    assert [c.error for c in found] == pytest.approx(plain.avgMetrics)
+
+
+def test_training_on_nothing_stops(rows):
+    with pytest.raises(ValueError, match="no row is left"):
+        T.fit_price_model(rows.where("listing_id < 0"), "DE", {"maxIter": (1,)})
+
+
+def leaves_of(trees):
+    """Value and ``feature: (low, high, share)`` of every leaf, by walking up from it."""
+    inner = set(trees.parent.tolist())
+    for leaf in (e for e in range(1, len(trees.feature)) if e not in inner):
+        path, at = {}, leaf
+        while at:
+            path.setdefault(int(trees.feature[at]), (trees.low[at], trees.high[at], trees.share[at]))
+            at = trees.parent[at]
+        yield trees.value[leaf], path
+
+
 def brute_shapley(leaves, x):
     """Shapley values from their definition over all feature subsets."""
     n = len(x)
 
     def value(known):
         total = 0.0
-        for leaf in leaves:
-            part = leaf.value
-            for f, lo, hi, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
+        for part, path in leaves:
+            for f, (lo, hi, share) in path.items():
                 part *= float(lo < x[f] <= hi) if f in known else share
             total += part
         return total
@@ -123,19 +160,45 @@ def brute_shapley(leaves, x):
     return result
 
 
-def test_contributions_equal_brute_force(spark, fitted, rows):
-    model, _ = fitted
-    leaves = X.model_leaves(spark, model)
-    used = sorted({int(f) for leaf in leaves for f in leaf.features})[:]
-    place = {f: i for i, f in enumerate(used)}
-    for leaf in leaves:
-        leaf.features = np.array([place[int(f)] for f in leaf.features], dtype=np.int64)
-    x = np.array([[r["features"][f] for f in used] for r in S.predict_prices(model, rows.limit(3)).collect()])
-    if len(used) > 9:  # all subsets of the first features are enough work
-        leaves = leaves[:8]
-    got = X.leaf_contributions(leaves, x)
+def grown(rng, depth, features, rows, node_id=0, nodes=None):
+    """Nodes of a random tree as a model stores them; features come back on a path, branches end early."""
+    nodes = {} if nodes is None else nodes
+    if depth == 0 or rows < 2 or (node_id and rng.random() < 0.2):
+        nodes[node_id] = {"leftChild": -1, "prediction": rng.random() * 100, "rawCount": rows}
+        return nodes
+    left = rng.randint(1, rows - 1)
+    node = {"prediction": 0.0, "rawCount": rows, "split": {
+        "featureIndex": rng.randrange(features), "leftCategoriesOrThreshold": [rng.random()], "numCategories": -1}}
+    nodes[node_id] = node
+    node["leftChild"] = max(nodes) + 1
+    grown(rng, depth - 1, features, left, node["leftChild"], nodes)
+    node["rightChild"] = max(nodes) + 1
+    grown(rng, depth - 1, features, rows - left, node["rightChild"], nodes)
+    return nodes
+
+
+@pytest.mark.parametrize("depth, features, count", [(1, 1, 1), (3, 2, 3), (4, 6, 4), (7, 5, 3), (10, 7, 2)])
+def test_contributions_equal_brute_force(depth, features, count):
+    rng = random.Random(depth)
+    trees = X.flat_trees([(grown(rng, depth, features, 500), 0.5 + i) for i in range(count)] + [({0: {"leftChild": -1, "prediction": 7.0}}, 2.0)])
+    leaves = list(leaves_of(trees))
+    x = np.array([[rng.random() for _ in range(features)] for _ in range(4)])
+    got = X.tree_contributions([trees], x)
     for row, phi in zip(x, got):
-        assert phi == pytest.approx(brute_shapley(leaves, row), abs=1e-6)
+        assert phi == pytest.approx(brute_shapley(leaves, row), abs=1e-8)
+        output = 14.0 + sum(v for v, path in leaves if all(lo < row[f] <= hi for f, (lo, hi, _) in path.items()))
+        assert trees.base + phi.sum() == pytest.approx(output)
+
+
+def test_pieces_and_blocks_add_up_to_the_same(spark, fitted, rows, monkeypatch):
+    model, _ = fitted
+    x = np.array([r["features"].toArray() for r in S.predict_prices(model, rows).collect()])
+    whole = X.tree_contributions(X.model_trees(spark, model), x)
+    monkeypatch.setattr(X, "BLOCK_NUMBERS", 100)
+    pieces = X.model_trees(spark, model, edges=1)
+    assert len(pieces) == 4 and np.allclose(X.tree_contributions(pieces, x), whole, atol=1e-9)
+    groups = list(X._groups(pieces, pieces[0].nbytes + pieces[1].nbytes))
+    assert [p for g in groups for p in g] == pieces and len(groups) >= 2
 
 
 def test_contributions_add_up_for_any_chunking(fitted, rows):
@@ -144,7 +207,9 @@ def test_contributions_add_up_for_any_chunking(fitted, rows):
     total = F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c["contribution"])
     gap = whole.select(F.max(F.abs(F.col("base_value") + total - F.col("prediction")))).first()[0]
     assert gap < 1e-6
-    pieces = X.explain(model, rows, chunk_leaves=5).select("listing_id", total.alias("t"))
+    pieces = X.explain(model, rows, every=True, most_bytes=1)
+    assert {r["n"] for r in pieces.select(F.size("contributions").alias("n")).collect()} == {len(model.names)}
+    pieces = pieces.select("listing_id", total.alias("t"))
     both = whole.select("listing_id", total.alias("u")).join(pieces, "listing_id")
     assert both.select(F.max(F.abs(F.col("t") - F.col("u")))).first()[0] < 1e-6
     top = X.contribution_rows(whole, "listing_id", 3, True)
