@@ -6,6 +6,7 @@ Only what needs a parser happens here; all field rules are Spark expressions on
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -51,12 +52,13 @@ class _Page(HTMLParser):
         self.found: dict[str, object] = {"links": []}
         self.starts: dict[str, int] = {}
         self.visible: list[int] = []  # strings that show more than white space
+        self.depth: Counter[str] = Counter()  # open elements by tag
+        self.hidden = 0  # open elements that hide what they hold
 
     def _flush(self, shown: bool = True) -> None:
         if self.pending:
-            hidden = any(tag in _HIDDEN for tag, _, _ in self.open)
             self.strings.append("".join(self.pending))
-            self.shown.append(shown and not hidden)
+            self.shown.append(shown and not self.hidden)
             if self.shown[-1] and self.strings[-1].strip():
                 self.visible.append(len(self.strings) - 1)
             self.pending = []
@@ -70,6 +72,8 @@ class _Page(HTMLParser):
             self.found["links"].append(values["href"])
         if tag not in _VOID:
             self.open.append((tag, len(self.strings), self._role(tag, values)))
+            self.depth[tag] += 1
+            self.hidden += tag in _HIDDEN
 
     def _role(self, tag: str, values: dict) -> str | None:
         test_id = values.get("data-testid")
@@ -94,12 +98,14 @@ class _Page(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self._flush()
-        if any(name == tag for name, _, _ in self.open):
+        if self.depth[tag]:
             while self._close() != tag:
                 pass
 
     def _close(self) -> str:
         tag, first, role = self.open.pop()
+        self.depth[tag] -= 1
+        self.hidden -= tag in _HIDDEN
         if role or tag in _HEADING_TAGS:
             shown = [s for s, ok in zip(self.strings[first:], self.shown[first:]) if ok] if role else None
             if role == "prime_price":

@@ -13,6 +13,9 @@ from lotwise.functions.text import display_name, strip, title_without_brand
 from lotwise.operators.columns import fill_absent, lower_names
 from lotwise.operators.dedup import top_rows
 from lotwise.operators.medians import grouped_median
+from lotwise.operators.ranking import with_ordinal
+from lotwise.session import scratch_path
+from lotwise.sources.store import write_table
 
 # ---------------------------------------------------------------- market view
 
@@ -49,35 +52,43 @@ def market_view(
 
 # ---------------------------------------------------------------- option lists
 # Lists come as rows, not as arrays: one brand or model may own a third of the market, and its values
-# need not fit into one row. ``distinct`` runs before the shuffle as well as after it.
+# need not fit into one row. ``distinct`` runs before the shuffle as well as after it, and ``ordinal`` is a value's
+# place in its sorted list.
 
 
 def brand_options(view: DataFrame) -> DataFrame:
-    return view.select("brand").where(F.col("brand").isNotNull()).distinct()
+    return with_ordinal(view.select("brand").where(F.col("brand").isNotNull()).distinct(), [], ["brand"])
 
 
 def model_options(view: DataFrame) -> DataFrame:
-    """Models per brand; brands of the static table without listings get their static models."""
+    """Models per brand; brands without a named model get the models of the static table, or ``unknown``."""
     models = view.select("brand", "model").where(F.col("brand").isNotNull() & F.col("model").isNotNull()).distinct()
+    named = models.select("brand").distinct()
     static = view.sparkSession.createDataFrame(
         [(b, m) for b, ms in V.BRAND_MODELS.items() for m in ms], "brand string, model string"
     )
-    return models.unionByName(static.join(brand_options(view), "brand", "left_anti"))
+    seen = view.select("brand").where(F.col("brand").isNotNull()).distinct()
+    others = static.select("brand").distinct()
+    unknown = seen.join(named, "brand", "left_anti").join(others, "brand", "left_anti").withColumn("model", F.lit("unknown"))
+    return with_ordinal(
+        models.unionByName(static.join(named, "brand", "left_anti")).unionByName(unknown), ["brand"], ["model"]
+    )
 
 
 def trim_options(view: DataFrame) -> DataFrame:
-    """Trims per brand and model, derived from titles; ``ordinal`` puts the "all" entry first."""
+    """Trims per brand and model, derived from titles; the "all" entry comes first, with ordinal 0."""
     trim = title_without_brand(F.col("title"), F.col("brand"))
-    entries = F.array(
-        F.struct(F.lit(V.ALL_TRIMS).alias("option"), F.lit(0).alias("ordinal")),
-        F.struct(trim.alias("option"), F.lit(1).alias("ordinal")),
+    sorted_ = with_ordinal(
+        view.select("brand", "model", trim.alias("option")).where(F.col("option") != "").distinct(),
+        ["brand", "model"], ["option"],
     )
-    return view.select("brand", "model", F.inline(entries)).where(F.col("option") != "").distinct()
+    first = view.select("brand", "model").distinct()
+    return first.select("*", F.lit(V.ALL_TRIMS).alias("option"), F.lit(0).cast("bigint").alias("ordinal")).unionByName(sorted_)
 
 
 def location_options(matches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     kept = F.col("location").isNotNull() & ~F.col("location").isin("", "nan")
-    return matches.where(kept).select(*by, "location").distinct()
+    return with_ordinal(matches.where(kept).select(*by, "location").distinct(), by, ["location"])
 
 
 def default_power(view: DataFrame) -> DataFrame:
@@ -89,11 +100,8 @@ def default_power(view: DataFrame) -> DataFrame:
         F.when(F.col("power_ps") > 0, F.col("power_ps")).alias("power"),
     )
     keys = ["brand", "model", "trim"]
-    medians = grouped_median(keyed, keys, "power", "power_ps")
-    return (
-        keyed.select(*keys).distinct().join(medians, keys, "left")
-        .select(*keys, F.coalesce(F.col("power_ps").cast("int"), F.lit(V.DEFAULT_POWER_PS)).alias("power_ps"))
-    )
+    medians = grouped_median(keyed, keys, "power", "power_ps", keep_empty=True)
+    return medians.select(*keys, F.coalesce(F.col("power_ps").cast("int"), F.lit(V.DEFAULT_POWER_PS)).alias("power_ps"))
 
 
 def refined_options(
@@ -160,6 +168,11 @@ def refined_options(
     return found.unionByName(rest)
 
 
+def sorted_options(options: DataFrame, by: Sequence[str] = ("subject_id", "field")) -> DataFrame:
+    """Option rows with their place in the sorted list they belong to."""
+    return with_ordinal(options, by, ["option"])
+
+
 # ---------------------------------------------------------------- matching offers
 
 
@@ -228,6 +241,29 @@ def _sliced(view: DataFrame, criteria: DataFrame, hot: DataFrame) -> tuple[DataF
     return offers.select(*view.columns, "__slice"), asked.drop("slices")
 
 
+def _criteria_columns(subjects: DataFrame) -> list[Column]:
+    return [F.col(c).alias(f"want_{c}") for c in subjects.columns if c != "subject_id"]
+
+
+def _with_trim(view: DataFrame, market: str, wanted: Sequence[str]) -> DataFrame:
+    """Offers with their trim, where one is asked for."""
+    if market.upper() == "DE" and "want_trim" in wanted:
+        return view.withColumn("__trim", F.lower(title_without_brand(F.col("title"), F.col("brand"))))
+    return view
+
+
+def _match_terms(offer: Sequence[str], wanted: Sequence[str], market: str) -> list[Column]:
+    """All conditions between an offer and criteria with the prefix ``want_``."""
+    terms = [F.col("brand") == F.col("want_brand"), F.col("model") == F.col("want_model")]
+    terms += _criteria(market.upper(), offer, wanted)
+    if "want_location" in wanted:
+        terms.append(F.col("want_location").isNull() | F.coalesce(F.col("location") == F.col("want_location"), F.lit(False)))
+    if "__trim" in offer:
+        trim = F.coalesce(F.col("want_trim"), F.lit(V.ALL_TRIMS))
+        terms.append((trim == V.ALL_TRIMS) | F.coalesce(F.col("__trim") == F.lower(trim), F.lit(False)))
+    return terms
+
+
 def match_offers(view: DataFrame, subjects: DataFrame, market: str, hot: DataFrame | None = None) -> DataFrame:
     """Offers that satisfy each subject's criteria, one row per subject and offer.
 
@@ -237,18 +273,10 @@ def match_offers(view: DataFrame, subjects: DataFrame, market: str, hot: DataFra
     ``hot_models``) cuts large models into slices for the other case. All criteria sit in the join
     condition.
     """
-    criteria = subjects.select(
-        "subject_id", *[F.col(c).alias(f"want_{c}") for c in subjects.columns if c != "subject_id"]
-    )
-    terms = [F.col("brand") == F.col("want_brand"), F.col("model") == F.col("want_model")]
-    terms += _criteria(market.upper(), view.columns, criteria.columns)
-    if "want_location" in criteria.columns:
-        terms.append(F.col("want_location").isNull() | F.coalesce(F.col("location") == F.col("want_location"), F.lit(False)))
-    if market.upper() == "DE" and "want_trim" in criteria.columns:
-        view = view.withColumn("__trim", F.lower(title_without_brand(F.col("title"), F.col("brand"))))
-        wanted = F.coalesce(F.col("want_trim"), F.lit(V.ALL_TRIMS))
-        terms.append((wanted == V.ALL_TRIMS) | F.coalesce(F.col("__trim") == F.lower(wanted), F.lit(False)))
+    criteria = subjects.select("subject_id", *_criteria_columns(subjects))
     names = [c for c in criteria.columns if c != "subject_id"]
+    view = _with_trim(view, market, names)
+    terms = _match_terms(view.columns, names, market)
     if hot is not None:
         view, criteria = _sliced(view, criteria, hot)
         terms.append(F.col("__slice") == F.col("want_slice"))
@@ -256,6 +284,59 @@ def match_offers(view: DataFrame, subjects: DataFrame, market: str, hot: DataFra
     return matched.drop("__trim", "__slice", "want_slice", *names)
 
 
+#: offers of a model that are looked at together
+ROWS_PER_RUN = 10_000
+
+
+def best_matches(
+    view: DataFrame, subjects: DataFrame, market: str, by: str = "price", ascending: bool = True, limit: int = 20,
+    rows_per_run: int = ROWS_PER_RUN,
+) -> DataFrame:
+    """The first ``limit`` offers of each subject with ``offer_rank``: the rows of ``best_offers`` over ``match_offers``.
+
+    Subjects that ask the same are one question. Each model's offers are put in order once and cut into runs.
+    Questions meet the first run of their model, those that are not served yet the next two, then the next four, and
+    so on: every later run holds worse offers only, so a question leaves as soon as it has ``limit`` of them. A run
+    is a key of its own, so a hot model's offers are never in one task, and no buyer looks at all of them unless
+    his criteria leave fewer than ``limit``.
+    """
+    spark = view.sparkSession
+    wanted = [c.replace("want_", "", 1) for c in subjects.select(*_criteria_columns(subjects)).columns]
+    asked = F.sha2(F.to_json(F.struct(*wanted)), 256)
+    subjects = subjects.withColumn("__asked", asked)
+    questions = subjects.select("__asked", *_criteria_columns(subjects.drop("__asked"))).dropDuplicates(["__asked"])
+    names = [c for c in questions.columns if c != "__asked"]
+    value = F.col(_SORTS[by]).cast("double")
+    ordered = _with_trim(view, market, names).where(F.col("brand").isNotNull() & F.col("model").isNotNull())
+    ordered = ordered.withColumns({"__missing": value.isNull(), "__value": value if ascending else -value})
+    placed = with_ordinal(ordered, ["brand", "model"], ["__missing", "__value", "id"], "__place")
+    runs = write_table(
+        placed.withColumn("__run", F.floor((F.col("__place") - 1) / rows_per_run)), scratch_path(spark, "runs")
+    )
+    last = runs.groupBy("brand", "model").agg(F.max("__run").alias("__last"))
+    last = last.select(F.col("brand").alias("want_brand"), F.col("model").alias("want_model"), "__last")
+    open_ = questions.join(last, ["want_brand", "want_model"]).withColumn("__have", F.lit(0).cast("bigint"))
+    open_ = write_table(open_, scratch_path(spark, "questions"))
+    terms = _match_terms(runs.columns, names, market) + [F.col("__run") == F.col("want_run")]
+    shown = [*view.columns, "__asked", "offer_rank"]
+    start, width, found = 0, 1, []
+    while True:
+        span = F.sequence(F.lit(start).cast("bigint"), F.least(F.lit(start + width - 1).cast("bigint"), F.col("__last")))
+        meeting = open_.withColumn("want_run", F.explode(span))
+        hits = runs.join(meeting, reduce(lambda a, b: a & b, terms))
+        top = top_rows(hits, ["__asked"], ["__place"], limit, "__rank").withColumn("offer_rank", F.col("__have") + F.col("__rank"))
+        found.append(write_table(top.where(F.col("offer_rank") <= limit).select(*shown), scratch_path(spark, "found")))
+        start, width = start + width, 2 * width
+        more = found[-1].groupBy("__asked").agg(F.max("offer_rank").alias("__now"))
+        rest = open_.where(F.col("__last") >= start).join(more, "__asked", "left")
+        rest = rest.withColumn("__have", F.coalesce("__now", "__have")).where(F.col("__have") < limit).drop("__now")
+        open_ = write_table(rest, scratch_path(spark, "questions"))
+        if open_.isEmpty():
+            break
+    answers = reduce(DataFrame.unionByName, found).withColumn("offer_rank", F.col("offer_rank").cast("int"))
+    return answers.join(subjects.select("subject_id", "__asked"), "__asked").drop("__asked")
+
+
 _SORTS = {"price": "price", "mileage": "mileage"}
 
 

@@ -7,87 +7,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
+from lotwise.operators.ranking import ROWS_PER_RANGE, in_ranges, null_safe
 
 
 def grouped_median(
-    df: DataFrame, by: Sequence[str], value: str, name: str = "median", buckets: int = BUCKETS
+    df: DataFrame, by: Sequence[str], value: str, name: str = "median", keep_empty: bool = False,
+    values_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Exact median of ``value`` per group; nulls are ignored, a group without values is absent.
+    """Exact median of ``value`` per group; nulls are ignored, a group without values is absent (null with ``keep_empty``).
 
     1. Equal values are counted before anything is shuffled, so a hot value is one row per task.
-    2. The counts are summed over ``buckets`` equal-width buckets per group; the running sum over
-       this short histogram finds the bucket of each middle rank.
-    3. Only the distinct values of these one or two buckets are put in order.
+    2. The distinct values are sorted in ranges of (group, value) that are cut where the values are. A group, however
+       large, goes through a run of ranges; sums per group and range tell which range holds its middle ranks.
+    3. Only these ranges, one or two per group, are looked into. No task holds more than a range, about
+       ``values_per_range`` distinct values, whatever the group's size and however far its outliers lie.
     """
     by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    limits = counts.groupBy(*by).agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__total")
-    )
-    # group keys may be null, so the join has to treat nulls as equal
-    placed = _join_groups(counts, limits, by).withColumn(
-        "__bucket",
-        F.when(
-            F.col("__hi") > F.col("__lo"),
-            F.least(
-                F.floor((F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * buckets),
-                F.lit(buckets - 1),
-            ),
-        ).otherwise(F.lit(0)).cast("int"),
-    )
-    histogram = placed.groupBy(*by, "__bucket").agg(
-        F.sum("__n").alias("__size"), F.first("__total").alias("__total")
-    )
-    running = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    low_rank = F.floor((F.col("__total") + 1) / 2)
-    high_rank = F.floor((F.col("__total") + 2) / 2)
-    chosen = (
-        histogram.withColumn("__before", F.coalesce(F.sum("__size").over(running), F.lit(0)))
-        .where(_covers(low_rank) | _covers(high_rank))
-        .select(*by, "__bucket", "__before")
-    )
-    inside = Window.partitionBy(*by, "__bucket").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = (
-        _join_groups(placed, chosen, [*by, "__bucket"])
-        .withColumn("__before", F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-        .withColumn("__size", F.col("__n"))
-    )
-    return (
-        ordered.groupBy(*by)
-        .agg(
-            (
-                (
-                    F.max(F.when(_covers(low_rank), F.col("__v")))
-                    + F.max(F.when(_covers(high_rank), F.col("__v")))
-                ) / 2
-            ).alias(name)
-        )
-    )
+    number = F.col(value).cast("double").alias("__v")
+    rows = df if keep_empty else df.where(F.col(value).isNotNull())
+    counts = rows.groupBy(*by, number).agg(F.count(value).alias("__n"))
+    placed = in_ranges(counts, [*by, "__v"], values_per_range)
+    sums = placed.groupBy("__part", *by).agg(F.sum("__n").alias("__size"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({
+        "__before": F.coalesce(F.sum("__size").over(earlier), F.lit(0)), "__total": F.sum("__size").over(group)
+    })
+    low_rank, high_rank = F.floor((F.col("__total") + 1) / 2), F.floor((F.col("__total") + 2) / 2)
+    chosen = sums.where(_covers(low_rank) | _covers(high_rank) | (F.col("__total") == 0)).select(
+        *[F.col(c).alias(f"__g_{c}") for c in ("__part", *by)], "__before", "__total"
+    )
+    inside = Window.partitionBy("__part", *by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = placed.join(chosen, null_safe(placed, chosen, ("__part", *by), "__g_")).withColumns({
+        "__before": F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0)), "__size": F.col("__n")
+    })
+    low, high = (F.max(F.when(_covers(rank), F.col("__v"))) for rank in (low_rank, high_rank))
+    return ordered.groupBy(*by).agg(((low + high) / 2).alias(name))
 
 
 def _covers(rank: Column) -> Column:
     return (F.col("__before") < rank) & (F.col("__before") + F.col("__size") >= rank)
 
 
-def _join_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Inner join on group columns with null = null, keeping the left columns once."""
-    renamed = right.select(
-        *[F.col(c).alias(f"__g_{c}") for c in by], *[c for c in right.columns if c not in by]
-    )
-    if not by:
-        return left.crossJoin(renamed)  # the right side is one row
-    condition = None
-    for c in by:
-        term = left[c].eqNullSafe(renamed[f"__g_{c}"])
-        condition = term if condition is None else condition & term
-    return left.join(renamed, condition).drop(*[f"__g_{c}" for c in by])
-
-
 def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact medians of several columns in one pass, as rows ``(column, median)``."""
     pairs = df.select(

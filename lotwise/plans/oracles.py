@@ -503,14 +503,17 @@ ORACLES: dict[str, str] = {
       year::BIGINT AS year, NULL::VARCHAR AS location, vdp_url AS url, trim, model AS model_us, year::BIGINT AS year_us,
       NULL::VARCHAR AS location_us, engine, cylinders FROM n""",
     "market_titles_de": _DE + f"SELECT id, concat_ws(' ', {_shown('brand')}, {_shown('model')}) AS title FROM n",
-    "brand_options": _DE + "SELECT DISTINCT brand FROM n",
-    "model_options": _US + """SELECT DISTINCT make AS brand, model FROM n UNION ALL
+    "brand_options": _DE + "SELECT brand, row_number() OVER (ORDER BY brand) AS ordinal FROM (SELECT DISTINCT brand FROM n)",
+    "model_options": _US + """SELECT *, row_number() OVER (PARTITION BY brand ORDER BY model) AS ordinal FROM (
+      SELECT DISTINCT make AS brand, model FROM n UNION ALL
       SELECT * FROM (VALUES ('ford', 'f-150'), ('ford', 'f-250'), ('ford', 'f-350'), ('lexus', 'nx')) x(brand, model)
       UNION ALL SELECT 'mercedes-benz', unnest(['c-klasse', 'e-klasse', 's-klasse', 'a-klasse', 'b-klasse', 'cla', 'cls', 'glc',
-        'gle', 'gla', 'glb', 'gls', 'eqe', 'eqs', 'eqa', 'eqb', 'eqc', 'v-klasse', 'g-klasse'])""",
-    "trim_options": _DE_N + """SELECT DISTINCT brand, model, trim AS option, 1::BIGINT AS ordinal FROM t WHERE trim <> ''
+        'gle', 'gla', 'glb', 'gls', 'eqe', 'eqs', 'eqa', 'eqb', 'eqc', 'v-klasse', 'g-klasse']))""",
+    "trim_options": _DE_N + """SELECT *, row_number() OVER (PARTITION BY brand, model ORDER BY option) AS ordinal
+      FROM (SELECT DISTINCT brand, model, trim AS option FROM t WHERE trim <> '')
       UNION ALL SELECT DISTINCT brand, model, 'Alle', 0 FROM t""",
-    "location_options": _DE + "SELECT DISTINCT brand, location FROM n",
+    "location_options": _DE + """SELECT *, row_number() OVER (PARTITION BY brand ORDER BY location) AS ordinal
+      FROM (SELECT DISTINCT brand, location FROM n)""",
     "default_power": _DE_N + """SELECT brand, model, trim, coalesce(trunc(median(power_ps) FILTER (power_ps > 0)), 150)::BIGINT AS power_ps
       FROM t WHERE model IS NOT NULL GROUP BY brand, model, trim""",
     "match_offers_de": _DE + _BUYERS_DE + "SELECT subject_id, id, price_eur AS price, mileage_km AS mileage FROM m",
@@ -538,9 +541,9 @@ ORACLES: dict[str, str] = {
       z AS (SELECT * FROM (SELECT *, bool_or(cm) OVER (PARTITION BY subject_id) AS hc FROM y) WHERE cm OR NOT hc),
       o AS (SELECT DISTINCT subject_id, field, option FROM (UNPIVOT (SELECT subject_id, trim, engine, exterior_color, interior_color
         FROM z) ON trim, engine, exterior_color, interior_color INTO NAME field VALUE option) WHERE option <> '')
-      SELECT * FROM o UNION ALL
+      SELECT *, row_number() OVER (PARTITION BY subject_id, field ORDER BY option) AS ordinal FROM (SELECT * FROM o UNION ALL
       SELECT s.subject_id, c.field, 'unknown' FROM s, (VALUES ('trim'), ('engine'), ('exterior_color'), ('interior_color')) c(field)
-      WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.subject_id = s.subject_id AND o.field = c.field)""",
+      WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.subject_id = s.subject_id AND o.field = c.field))""",
     "alternative_models": _US + _BUYERS_US + """, b AS (
         SELECT make, model, min(id) AS seen FROM n GROUP BY make, model)
       SELECT s.subject_id, s.make AS brand, s.model, b.model AS alt_model,

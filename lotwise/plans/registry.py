@@ -16,6 +16,7 @@ from lotwise.operators import (
     cleaning_de, cleaning_us, columns, explain, features, market, medians, pages, ranking, recommend, records,
     scoring, training,
 )
+from lotwise.plans import ingest
 from lotwise.plans.workspace import AS_OF, Workspace, workspace
 from lotwise.session import scratch_path
 from lotwise.sources import driver_views as views
@@ -239,8 +240,8 @@ def json_pages_read(w: Workspace) -> DataFrame:
 @query
 def market_partition_scan(w: Workspace) -> DataFrame:
     """Equality on the market reads that partition only."""
-    w.de, w.us  # both markets are stored under one table
-    listings = w.spark.read.parquet(f"{w.root}/store/listings")
+    w.de, w.us  # both markets are loaded
+    listings = ingest.all_listings(w.spark, f"{w.root}/store")
     return listings.where(F.col("market") == F.upper(F.lit("us"))).select("id", "brand", "price", "market")
 
 
@@ -322,13 +323,15 @@ def feature_upsert(w: Workspace) -> DataFrame:
 
 @query
 def feature_upsert_stored(w: Workspace) -> DataFrame:
-    """The same update as a stored version after the one it starts from."""
+    """The same update as the version after the one that it reads by its name."""
     events = w.table("events").select("user_id", "event_id", "event_type", "value")
     old = events.groupBy("user_id").agg(F.min_by(F.struct("event_id", "event_type", "value"), "event_id").alias("s"))
     root = scratch_path(w.spark, "versions")
-    first = store.store_version(old.select("user_id", "s.*"), root, "features")
-    new = store.upsert(first, events.where("event_type = 'click'"), "user_id", [F.desc("event_id")])
-    return store.store_version(new, root, "features")
+    store.store_version(old.select("user_id", "s.*"), root, "features")
+    features_by_name = store.Versions(w.spark, root)
+    new = store.upsert(features_by_name.current("features"), events.where("event_type = 'click'"), "user_id", [F.desc("event_id")])
+    store.store_version(new, root, "features")
+    return features_by_name.current("features")
 
 
 @query
@@ -519,13 +522,13 @@ def match_offers_de(w: Workspace) -> DataFrame:
 @query
 def match_offers_top(w: Workspace) -> DataFrame:
     """The twenty cheapest offers per buyer with their shown columns."""
-    best = market.best_offers(_matches_de(w))
+    best = market.best_matches(w.view_de, _buyers_de(w), "DE")
     return market.display_offers(best, ["subject_id", "offer_rank"])
 
 
 @query
 def match_offers_by_mileage(w: Workspace) -> DataFrame:
-    best = market.best_offers(_matches_de(w), "mileage", False, 30)
+    best = market.best_matches(w.view_de, _buyers_de(w), "DE", "mileage", False, 30)
     return best.select("subject_id", "offer_rank", "id", "mileage")
 
 
@@ -563,7 +566,7 @@ def match_trim(w: Workspace) -> DataFrame:
     wanted = view.where("model IS NOT NULL").groupBy("brand", "model").agg(
         F.min("id").alias("subject_id"), F.min_by("title", "id").alias("title")
     ).select("subject_id", "brand", "model", T.title_without_brand(F.col("title"), F.col("brand")).alias("trim"))
-    return market.match_offers(view, wanted, "DE").select("subject_id", "id", "title")
+    return market.match_offers(view, wanted, "DE", market.hot_models(view)).select("subject_id", "id", "title")
 
 
 @query
@@ -572,12 +575,12 @@ def match_location(w: Workspace) -> DataFrame:
     wanted = view.where("model IS NOT NULL").groupBy("brand", "model").agg(
         F.min("id").alias("subject_id"), F.min_by("location", "id").alias("location")
     )
-    return market.match_offers(view, wanted, "DE").select("subject_id", "id", "location")
+    return market.match_offers(view, wanted, "DE", market.hot_models(view)).select("subject_id", "id", "location")
 
 
 @query
 def two_tier_options(w: Workspace) -> DataFrame:
-    return market.refined_options(w.view_us, _buyers_us(w))
+    return market.sorted_options(market.refined_options(w.view_us, _buyers_us(w)))
 
 
 @query
@@ -738,7 +741,7 @@ def known_contributions(w: Workspace) -> DataFrame:
 @query
 def known_reports(w: Workspace) -> DataFrame:
     """The report's fields read back: price, currency, and every factor, used by a split or not."""
-    report = scoring.price_report(explain.explain(w.known_model, w.known_cars), "US", names=w.known_model.names)
+    report = scoring.price_report(explain.explain(w.known_model, w.known_cars, every=True), "US")
     fields = "berechneter_preis double, waehrung string, alle_preis_einflussfaktoren map<string,double>"
     return report.select("subject_id", F.from_json("report", fields).alias("r")).select(
         "subject_id", F.col("r.berechneter_preis").alias("price"), F.col("r.waehrung").alias("currency"),
@@ -776,7 +779,7 @@ def price_reports(w: Workspace) -> DataFrame:
     asked = scoring.with_defaults(
         w.view_us.select(F.col("id").alias("subject_id"), "brand", "model", "mileage", "car_age"), "US"
     )
-    return scoring.price_report(explain.explain(model, asked), "US", names=model.names)
+    return scoring.price_report(explain.explain(model, asked, every=True), "US")
 
 
 @query

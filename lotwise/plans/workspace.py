@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +14,13 @@ from lotwise.operators import features, market, scoring, training
 from lotwise.plans import ingest
 from lotwise.session import apply_settings, scratch_path
 from lotwise.sources import driver_views as views
-from lotwise.sources.store import write_table
+from lotwise.sources.store import Versions, bucket_count, write_table
 
 AS_OF = "2026-01-15T12:00:00Z"
-# ids are unique inside a market; every join on them is within one market
+# no DE id reaches this: ids are unique inside a market, and over all listings as long as that holds
 US_BASE = 1_000_000_000
+#: how long a stored market view counts as current
+VIEW_AGE = timedelta(seconds=600)
 #: session setting with other tree counts for a trial, as in "5,10"; without it the grids are searched as they are
 TREE_COUNTS = "lotwise.tree.counts"
 
@@ -66,15 +70,20 @@ class Workspace:
 
     @cached_property
     def features(self) -> DataFrame:
-        return self._keep("listing_features", features.document_features(self.documents))
+        rows = features.document_features(self.documents)
+        return ingest.store_features(rows, f"{self.root}/store", bucket_count(self.de.listings.count()))
 
-    @property
+    def _view(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return Versions(self.spark, f"{self.root}/store").cached(name, build, VIEW_AGE)
+
+    @cached_property
     def view_de(self) -> DataFrame:
-        return market.market_view("DE", self.de.listings, self.de.details, self.features)
+        """The market view, joined once and read from where it is stored by all that use it."""
+        return self._view("market_view_de", lambda: market.market_view("DE", self.de.listings, self.de.details, self.features))
 
-    @property
+    @cached_property
     def view_us(self) -> DataFrame:
-        return market.market_view("US", self.us.listings, self.us.details)
+        return self._view("market_view_us", lambda: market.market_view("US", self.us.listings, self.us.details))
 
     @property
     def rows_de(self) -> DataFrame:

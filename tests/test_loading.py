@@ -1,14 +1,14 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 from test_cleaning import NOW, de, us
 
-from lotwise.operators import loading
+from lotwise.operators import loading, market
 from lotwise.plans import ingest
 from lotwise.session import scratch_path
 from lotwise.sources import raw, store
@@ -34,7 +34,7 @@ def test_run_both_markets_share_one_table_and_can_repeat(spark):
     for _ in range(2):
         ingest.run(de(spark, {}), "DE", root, 1)
         tables = ingest.run(us(spark, {}, {"@id": "2", "vehicle_vin": None}), "US", root, 2, NOW, base=10)
-    listings = spark.read.parquet(f"{root}/listings")
+    listings = ingest.all_listings(spark, root)
     assert sorted((r["market"], r["id"]) for r in listings.collect()) == [("DE", 1), ("US", 11), ("US", 12)]
     row = listings.where("id = 11").first()
     assert (row["title"], row["location"], row["year"], row["brand"]) == (None, None, 2020, "ford")
@@ -115,6 +115,69 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_load_that_stops_half_way_leaves_the_earlier_one(spark, monkeypatch):
+    root = scratch_path(spark, "half")
+    ingest.run(de(spark, {"Titel": "BMW X5"}), "DE", root, 1)
+    write = store.Versions.write
+
+    def stops(self, df, name, *rest):
+        if name == "listing_de":
+            raise RuntimeError("stopped between parent and child")
+        return write(self, df, name, *rest)
+
+    monkeypatch.setattr(store.Versions, "write", stops)
+    with pytest.raises(RuntimeError, match="between"):
+        ingest.run(de(spark, {"Titel": "AUDI A4"}, {"Titel": "VW Golf"}), "DE", root, 1)
+    found = ingest.stored(spark, root, "de")
+    assert values(found.listings, "brand") == ["bmw"] and found.details.count() == 1
+    monkeypatch.undo()
+    ingest.run(de(spark, {"Titel": "AUDI A4"}, {"Titel": "VW Golf"}), "DE", root, 1)
+    found = ingest.stored(spark, root, "DE")
+    assert sorted(values(found.listings, "brand")) == ["audi", "vw"] and found.details.count() == 2
+    assert ingest.stored(spark, root, "US") is None
+
+
+def test_views_join_without_exchange_also_in_another_session(spark):
+    root = scratch_path(spark, "buckets")
+    ingest.run(de(spark, {}, {"Titel": "AUDI A4"}), "DE", root, 1)
+    ingest.run(us(spark, {}, {"@id": "2", "vehicle_vin": None}), "US", root, 2, NOW, base=10)
+    features = spark.createDataFrame([(1, 1), (2, 0)], "listing_id bigint, tuv_neu int")
+    ingest.store_features(features, root, 8)
+    other = spark.newSession()
+    for session in (spark, other):
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            d, u = (ingest.stored(session, root, m) for m in ("DE", "US"))
+            views = market.market_view("DE", d.listings, d.details, store.Versions(session, root).current("listing_features")), \
+                market.market_view("US", u.listings, u.details)
+            assert sorted((r["id"], r["tuv_neu"]) for r in views[0].collect()) == [(1, 1), (2, 0)]
+            assert sorted(values(views[1], "id")) == [11, 12]
+            for view in views:
+                plan = view._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" in plan and "Exchange" not in plan
+        finally:
+            session.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_versions_by_name_and_age(spark):
+    versions = store.Versions(spark, scratch_path(spark, "named"))
+    assert versions.current("features") is None
+    made, noon = [], datetime(2026, 1, 1, 12)
+
+    def build():
+        made.append(1)
+        return spark.range(len(made))
+
+    def rows(seconds):
+        return versions.cached("view", build, timedelta(seconds=600), noon + timedelta(seconds=seconds)).count()
+
+    assert [rows(s) for s in (0, 599, 600, 700)] == [1, 1, 2, 2]
+    first = store.store_version(spark.range(3), versions.root, "features")
+    store.store_version(versions.current("features").where("id > 0"), versions.root, "features")
+    assert first.count() == 3 and versions.current("features").count() == 2
+    assert [store.bucket_count(n) for n in (0, 10**6, 9 * 10**6, 17 * 10**6)] == [8, 8, 16, 32]
+
+
 def test_stream_cleans_each_piece_once(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "out")
     store.append_csv(de(spark, {}, {}, {"Preis": "x"}).drop("row_pos"), folder)

@@ -7,6 +7,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from lotwise.operators import market as M
+from lotwise.operators.dedup import top_rows
 from lotwise.vocab import BRAND_MODELS
 
 LISTING = "id bigint, market string, brand string, model string, title string, price double, mileage double, location string, url string"
@@ -46,7 +47,10 @@ def test_options(spark):
     models = {(r["brand"], r["model"]) for r in M.model_options(view).collect()}
     assert models == {("bmw", "x5"), ("bmw", "x3")} | {(b, m) for b, ms in BRAND_MODELS.items() for m in ms}
     trims = sorted((r["model"], r["ordinal"], r["option"]) for r in M.trim_options(view).collect())
-    assert trims == [("x3", 0, "Alle"), ("x5", 0, "Alle"), ("x5", 1, "X5 M"), ("x5", 1, "X5 m")]
+    assert trims == [("x3", 0, "Alle"), ("x5", 0, "Alle"), ("x5", 1, "X5 M"), ("x5", 2, "X5 m")]
+    assert {(r["model"], r["ordinal"]) for r in M.model_options(view).where("brand = 'bmw'").collect()} == {("x3", 1), ("x5", 2)}
+    nameless = M.model_options(view.withColumns({"model": F.lit(None).cast("string")}).withColumn("brand", F.lit("opel")))
+    assert values(nameless.where("brand = 'opel'"), "model") == ["unknown"]
     assert values(M.location_options(view), "location") == ["Berlin"]
     power = {(r["model"], r["trim"]): r["power_ps"] for r in M.default_power(view).collect()}
     assert power == {("x5", "x5 m"): 250, ("x3", ""): 99}
@@ -92,11 +96,33 @@ def test_match_offers_against_brute_force(spark):
             ids = sorted((i for k, i in want if k == s["subject_id"]),
                          key=lambda i: (price[i] is None, (price[i] or 0) * (1 if ascending else -1), i))[:4]
             assert [r["id"] for r in sorted(best, key=lambda r: r["offer_rank"]) if r["subject_id"] == s["subject_id"]] == ids
+        expected = sorted((r["subject_id"], r["offer_rank"], r["id"], r["title"]) for r in best)
+        for rows_per_run in (5, 10_000):
+            pruned = M.best_matches(view, subjects, "DE", "price", ascending, 4, rows_per_run)
+            assert sorted((r["subject_id"], r["offer_rank"], r["id"], r["title"]) for r in pruned.collect()) == expected
     counts = {r["subject_id"]: r["offers"] for r in M.offer_counts(matched).collect()}
     assert sum(counts.values()) == len(want)
     assert "WindowGroupLimit" in M.best_offers(M.match_offers(view, subjects, "DE"))._jdf.queryExecution().toString()
 
 
+def test_buyers_who_ask_the_same_are_one_question(spark, monkeypatch):
+    """Many buyers of a hot model with many offers: what the joins put out is a few runs, not buyers times offers."""
+    offers = spark.range(4000).selectExpr("id", "'a' AS brand", "'x' AS model", "double(id) AS price", "double(id % 7) AS mileage", "'t' AS title")
+    buyers = spark.range(500).selectExpr("id AS subject_id", "'a' AS brand", "'x' AS model", "double(id % 2 + 5) AS mileage")
+    seen = []
+
+    def watched(df, keys, order, limit, rank):
+        seen.append(df.count())
+        return top_rows(df, keys, order, limit, rank)
+
+    monkeypatch.setattr(M, "top_rows", watched)
+    best = M.best_matches(offers, buyers, "DE", limit=20, rows_per_run=100)
+    assert best.count() == 500 * 20 and sum(seen) <= 2 * 100
+    want = {0: [i for i in range(4000) if i % 7 <= 5][:20], 1: list(range(20))}
+    for s in (0, 1, 498, 499):
+        assert values(best.where(F.col("subject_id") == s).orderBy("offer_rank"), "id") == want[s % 2]
+
+
 def test_us_criteria_and_owner_quirk(spark):
     view = spark.createDataFrame([(1, "a", "x", "XLT", "V6", "gas", 6.0, 3), (2, "a", "x", None, "V8", "GAS", None, 3)],
                                  "id bigint, brand string, model string, trim string, engine string, fuel string, cylinders double, owner_count int")

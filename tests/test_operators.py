@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lotwise.operators import columns as C
+from lotwise.operators import medians
 from lotwise.operators import records as R
 from lotwise.operators.medians import column_medians, grouped_median
-from lotwise.operators.ranking import assign_ids, with_global_rank
+from lotwise.operators.ranking import assign_ids, in_ranges, with_global_rank, with_ordinal
 
 
 @pytest.mark.parametrize("width", [1, 7, 1000])
@@ -27,20 +28,61 @@ def test_ids_follow_positions(spark):
     assert {r["v"]: r["id"] for r in assign_ids(rows, 100).collect()} == {"a": 101, "b": 102, "c": 103}
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 4096])
-def test_grouped_median_is_exact(spark, buckets):
+@pytest.mark.parametrize("values_per_range", [20, 300, 10**6])
+def test_grouped_median_is_exact(spark, values_per_range):
     rng = random.Random(2)
     data = [(g, rng.choice([None, rng.random() * 10 ** rng.randint(0, 6), 5.0])) for g in (None, "a", "b", "hot")
             for _ in range({"hot": 900}.get(g, rng.randint(1, 60)))]
     data.append(("only null", None))
     rows = spark.createDataFrame(data, "g string, v double")
-    got = {r["g"]: r["m"] for r in grouped_median(rows, ["g"], "v", "m", buckets).collect()}
+    got = {r["g"]: r["m"] for r in grouped_median(rows, ["g"], "v", "m", values_per_range=values_per_range).collect()}
     want = {}
     for g in {g for g, _ in data}:
         found = [v for h, v in data if h == g and v is not None]
         if found:
             want[g] = pytest.approx(statistics.median(found))
     assert got == want
+    empty = grouped_median(rows, ["g"], "v", "m", keep_empty=True, values_per_range=values_per_range)
+    assert {r["g"]: r["m"] for r in empty.collect()} == want | {"only null": None}
+
+
+def test_no_task_holds_a_hot_group_or_the_values_below_an_outlier(spark, monkeypatch):
+    """A third of the rows in one group, one value far from all others: ranges stay near their size."""
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"),
+        F.when(F.col("id") == 0, 1e300).otherwise(F.col("id") + 0.5).alias("v"),
+    )
+    sizes = []
+
+    def watched(df, keys, rows_per_range):
+        placed = in_ranges(df, keys, rows_per_range)
+        sizes.extend(r["count"] for r in placed.groupBy("__part").count().collect())
+        return placed
+
+    monkeypatch.setattr(medians, "in_ranges", watched)
+    got = {r["g"]: r["median"] for r in grouped_median(rows, ["g"], "v", values_per_range=1000).collect()}
+    assert len(sizes) >= 8 and max(sizes) < 3000
+    assert got == {r["g"]: pytest.approx(r["m"]) for r in rows.groupBy("g").agg(F.median("v").alias("m")).collect()}
+
+
+@pytest.mark.parametrize("rows_per_range", [7, 10**6])
+def test_ordinals_of_texts_in_hot_groups(spark, rows_per_range):
+    rng = random.Random(6)
+    data = [(rng.choice(["hot", "hot", "hot", "a", None]), f"{rng.choice('xyzÄß')}{i}") for i in range(300)]
+    rows = spark.createDataFrame(data, "g string, t string").repartition(5)
+    got = sorted(map(tuple, with_ordinal(rows, ["g"], ["t"], "n", 0, rows_per_range).collect()), key=str)
+    want = []
+    for g in {g for g, _ in data}:
+        want += [(g, t, i) for i, t in enumerate(sorted((t for h, t in data if h == g), key=str.encode))]
+    assert got == sorted(want, key=str)
+    alone = with_ordinal(rows, [], ["t"], rows_per_range=rows_per_range).orderBy("ordinal")
+    assert values(alone, "t") == sorted((t for _, t in data), key=str.encode)
+    assert with_ordinal(rows.where("1 = 0"), ["g"], ["t"]).collect() == []
+
+
+def test_equal_positions_are_ordered_by_the_next_one(spark):
+    rows = spark.createDataFrame([(1, b, f"{b}") for b in (3, 1, 2)] + [(0, 9, "first")], "row_pos bigint, row_sub bigint, v string")
+    assert {r["v"]: r["id"] for r in assign_ids(rows, ties=["row_sub"]).collect()} == {"first": 1, "1": 2, "2": 3, "3": 4}
 
 
 def test_median_of_two_is_their_mean(spark):

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from conftest import values
 
 from lotwise.functions.html import read_page
@@ -78,3 +80,17 @@ def test_links(spark):
     assert values(P.distinct_links(rows).orderBy("page_id", "pos"), "link") == [
         "https://suchen.mobile.de/fahrzeuge/details.html?id=1", "https://o.example.com/fahrzeuge/details.html?id=9"]
     assert values(P.distinct_links(rows, 1), "page_id") == [0]
+
+
+def test_elements_that_stay_open_cost_no_more_than_others():
+    """Items need no end tag; neither they nor end tags without a start make a long page slow."""
+    pages = "<ul>" + "<li>a <b>b</b></i>" * 16_000, "<ul>" + "<li>a <b>b</b></li>" * 16_000
+    start = time.perf_counter()
+    parts = [read_page(p) for p in pages]
+    assert time.perf_counter() - start < 4
+    assert parts[0]["strings"] == parts[1]["strings"] and len(parts[0]["strings"]) == 32_000
+
+
+def test_hidden_text_ends_with_its_element():
+    page = read_page("<template>a<p>b</template>c<style>d</style>e")
+    assert page["strings"] == ["a", "b", "c", "d", "e"] and page["page_text"] == "c e"
