@@ -659,3 +659,30 @@ ORACLES["doc_deep_pairs"] = "SELECT event_id AS listing_id, 'inner key' AS key,
 
 ORACLES["market_view_empty"] = """SELECT ''::VARCHAR AS brand, ''::VARCHAR AS model, ''::VARCHAR AS title, 0::DOUBLE AS price,
   0::DOUBLE AS mileage, ''::VARCHAR AS location, ''::VARCHAR AS url FROM orders WHERE o_totalprice < 0"""
+
+ORACLES["us_cleaned_csv"] = "SELECT vin, make, model, price_usd, mileage_mi, zip_code, accident_count, one_owner, car_age FROM (" \
+    + ORACLES["us_clean"] + ")"
+ORACLES["json_pages_inferred"] = "SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN round(value, 2) END AS amount FROM events"
+ORACLES["prompt_candidates_range"] = _DE + "SELECT id, beschreibung FROM n WHERE beschreibung IS NOT NULL AND id BETWEEN 100 AND 817"
+ORACLES["market_view_misspelt"] = "SELECT id, ausstattung_burmester_standard FROM (" + ORACLES["market_view_de"] + ")"
+ORACLES["market_view_bare"] = _US + f"SELECT id, concat_ws(' ', {_shown('make')}, {_shown('model')}) AS title, '' AS location, '' AS url FROM n"
+ORACLES["known_predictions_loaded"] = ORACLES["known_predictions"]
+ORACLES["known_predictions_absent"] = _KNOWN + "SELECT id AS subject_id, round((SELECT max(p) FROM g WHERE oc = 1), 6) AS prediction FROM k"
+ORACLES["request_defaults_us"] = _US + """SELECT id AS subject_id, make AS brand, model, coalesce(fuel, 'benzin') AS fuel,
+  coalesce(cylinders, 6.0) AS cylinders, 'automatic' AS transmission, 0.0::DOUBLE AS has_accidents, 0.0::DOUBLE AS is_cpo,
+  4.0::DOUBLE AS doors, 5.0::DOUBLE AS seats, """ + ", ".join(f"'unbekannt' AS {c}" for c in (
+    "engine", "trim", "drivetrain", "body_style", "exterior_color", "interior_color", "usage_type")) + " FROM n"
+ORACLES["contribution_labels_us"] = _US + f""", x AS (SELECT *, (owner_count = 1)::INT AS first_hand, (accident_count > 0)::INT AS hit FROM n
+    WHERE owner_count IS NOT NULL AND accident_count IS NOT NULL AND cylinders IS NOT NULL),
+q AS (
+  SELECT id, 'mileage' AS feature, 'Kilometerstand von ' || format('{{:,}}', mileage_mi::BIGINT) || ' Meilen' AS sentence,
+    mileage_mi * -0.07::DOUBLE AS a FROM x
+  UNION ALL SELECT id, 'owner_count', owner_count::BIGINT || ' Vorbesitzer', owner_count * -311.5::DOUBLE FROM x
+  UNION ALL SELECT id, 'accident_count', accident_count::BIGINT || ' gemeldete Unfälle', accident_count * -905.25::DOUBLE FROM x
+  UNION ALL SELECT id, 'cylinders', cylinders::BIGINT || '-Zylinder-Motor', cylinders * 250.75::DOUBLE FROM x
+  UNION ALL SELECT id, 'has_accidents', CASE WHEN hit = 1 THEN 'Mit Unfällen' ELSE 'Unfallfrei' END, hit * -400.5::DOUBLE + 12.25 FROM x
+  UNION ALL SELECT id, 'one_owner', CASE WHEN first_hand = 1 THEN 'Aus 1. Hand' ELSE 'Mehrere Vorbesitzer' END, first_hand * 300.5::DOUBLE - 20.75 FROM x
+  UNION ALL SELECT id, 'brand_' || make, 'Marke: ' || {_shown('make')}, 777.125::DOUBLE FROM x
+)
+SELECT id AS subject_id, feature, sentence, CASE WHEN a < 0 THEN '-' ELSE '+' END
+  || format('{{:,}}', round_even(abs(a), 0)::BIGINT) || ' $' AS amount FROM q"""

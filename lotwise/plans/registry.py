@@ -201,6 +201,14 @@ def de_cleaned_csv(w: Workspace) -> DataFrame:
     return raw.read_cleaned(w.spark, path, "DE", "csv")
 
 
+@query
+def us_cleaned_csv(w: Workspace) -> DataFrame:
+    """The cleaned US table through its CSV file and the typed reader."""
+    path = store.write_cleaned(cleaning_us.clean_us(w.raw_us, AS_OF, views.US_ORDER), "raw_us.csv", scratch_path(w.spark, "processed"), "csv")
+    rows = raw.read_cleaned(w.spark, path, "US", "csv")
+    return rows.select("vin", "make", "model", "price_usd", "mileage_mi", "zip_code", "accident_count", "one_owner", "car_age")
+
+
 @query
 def csv_append(w: Workspace) -> DataFrame:
     """Rows appended in two writes, one header per file."""
@@ -237,6 +245,18 @@ def json_pages_read(w: Workspace) -> DataFrame:
     return raw.page_records(pages_df).drop("row_pos")
 
 
+@query
+def json_pages_inferred(w: Workspace) -> DataFrame:
+    """Landed page files read without a schema: keys that only some records have become columns of all."""
+    path = scratch_path(w.spark, "page_files")
+    page = F.floor(F.col("event_id") / 100).alias("page")
+    amount = F.when(F.col("event_id") % 3 == 0, F.round("value", 2)).alias("amount")
+    record = F.struct("event_id", "event_type", amount)
+    pages_df = w.table("events").groupBy(page).agg(F.collect_list(record).alias("data")).select("data")
+    pages_df.write.option("maxRecordsPerFile", 1).json(path)
+    return raw.read_json_pages(w.spark, path).select("event_id", "event_type", "amount")
+
+
 @query
 def market_partition_scan(w: Workspace) -> DataFrame:
     """Equality on the market reads that partition only."""
@@ -362,6 +382,12 @@ def prompt_candidates(w: Workspace) -> DataFrame:
     return rows.select("id", "prompt")
 
 
+@query
+def prompt_candidates_range(w: Workspace) -> DataFrame:
+    """Described listings of one id range, both ends included."""
+    return features.prompt_candidates(w.de.listings, w.de.details, V.PROMPT_IDS[0], V.PROMPT_IDS[1]).select("id", "beschreibung")
+
+
 @query
 def response_cut(w: Workspace) -> DataFrame:
     return features.parse_responses(views.responses(w.spark, w.sf_dir))
@@ -468,6 +494,20 @@ def market_titles_de(w: Workspace) -> DataFrame:
     return market.market_view("de", w.de.listings.drop("title")).select("id", "title")
 
 
+@query
+def market_view_misspelt(w: Workspace) -> DataFrame:
+    """Stored features under the historic misspelt name come out under the right one."""
+    right, misspelt = V.MISSPELT_FEATURE[1], V.MISSPELT_FEATURE[0]
+    old = w.features.withColumnRenamed(right, misspelt)
+    return market.market_view("DE", w.de.listings, w.de.details, old).select("id", right)
+
+
+@query
+def market_view_bare(w: Workspace) -> DataFrame:
+    """Columns that every view has are there, empty, when the tables lack them."""
+    return market.market_view("US", w.us.listings.drop("location", "url")).select("id", "title", "location", "url")
+
+
 @query
 def brand_options(w: Workspace) -> DataFrame:
     return market.brand_options(w.view_de)
@@ -722,6 +762,21 @@ def known_predictions(w: Workspace) -> DataFrame:
     return scoring.predict_prices(w.known_model, w.known_cars).select("subject_id", "prediction")
 
 
+@query
+def known_predictions_loaded(w: Workspace) -> DataFrame:
+    """The same prices by a model that was saved and loaded."""
+    root = scratch_path(w.spark, "models")
+    training.save_model(w.spark, w.known_model, root)
+    loaded = training.load_model(w.spark, root, "US")
+    return scoring.predict_prices(loaded, w.known_cars).select("subject_id", "prediction")
+
+
+@query
+def known_predictions_absent(w: Workspace) -> DataFrame:
+    """A number that the request does not have at all counts as 0."""
+    return scoring.predict_prices(w.known_model, w.known_cars.drop("owner_count")).select("subject_id", "prediction")
+
+
 @query
 def known_metrics(w: Workspace) -> DataFrame:
     scored = scoring.predict_prices(w.known_model, w.known_cars)
@@ -835,6 +890,12 @@ def request_defaults_de(w: Workspace) -> DataFrame:
     return scoring.with_defaults(asked, "DE")
 
 
+@query
+def request_defaults_us(w: Workspace) -> DataFrame:
+    asked = w.view_us.select(F.col("id").alias("subject_id"), F.upper("brand").alias("brand"), "model", "fuel", "cylinders")
+    return scoring.with_defaults(asked, "US")
+
+
 def _linear_contributions(w: Workspace) -> DataFrame:
     """Contributions of a fixed linear rule: the car's numbers, its own categories, and another model."""
     def part(feature: Column | str, value: Column | float, amount: Column) -> Column:
@@ -884,3 +945,21 @@ def contribution_labels(w: Workspace) -> DataFrame:
         F.when(explain.direction(amount) == "↑", "up").otherwise("down").alias("direction"),
         explain.signed_amount(amount, "DE").alias("amount"),
     )
+
+
+@query
+def contribution_labels_us(w: Workspace) -> DataFrame:
+    """The same wording for a US car: miles, flags of its own, dollars."""
+    rows = w.cars_us.where("owner_count IS NOT NULL AND accident_count IS NOT NULL AND cylinders IS NOT NULL")
+    inputs = explain.input_map(["mileage", "owner_count", "accident_count", "cylinders", "has_accidents", "one_owner", "brand"])
+    amounts = {
+        "mileage": F.col("mileage") * -0.07, "owner_count": F.col("owner_count") * -311.5, "accident_count": F.col("accident_count") * -905.25,
+        "cylinders": F.col("cylinders") * 250.75, "has_accidents": F.col("has_accidents") * -400.5 + 12.25, "one_owner": F.col("one_owner") * 300.5 - 20.75,
+    }
+    pairs = [F.struct(F.lit(f).alias("feature"), a.cast("double").alias("amount")) for f, a in amounts.items()]
+    pairs.append(F.struct(F.concat(F.lit("brand_"), "brand").alias("feature"), F.lit(777.125).alias("amount")))
+    told = rows.select("subject_id", inputs.alias("inputs"), F.inline(F.array(*pairs)))
+    return told.select(
+        "subject_id", "feature", explain.contribution_sentence(F.col("feature"), F.col("inputs"), "US").alias("sentence"),
+        explain.signed_amount(F.col("amount"), "US").alias("amount"),
+    )

@@ -206,6 +206,9 @@ GRIDS = {
     "US": {"maxDepth": (4, 6, 8, 10), "stepSize": (0.05, 0.1), "maxIter": (500, 1000)},
 }
 
+#: ids of the listings whose descriptions are sent to a language model (fixed values, both included)
+PROMPT_IDS = (100, 817)
+
 # ---- scoring defaults (fixed values) ----
 SCORE_DEFAULTS = {
     "DE": {

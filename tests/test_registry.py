@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lotwise.plans.workspace import TREE_COUNTS
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('LOTWISE_SF', '0.001')}"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -43,7 +44,26 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: rest on a trained model
+TRAINED = ("predict_rows", "holdout_metrics", "cv_grid", "unknown_categories", "contributions", "price_reports", "recommend_us_model")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def few_trees(spark):
+    """All combinations of depths, rates and folds, with few trees each; the whole search takes hours."""
+    spark.conf.set(TREE_COUNTS, "1,2")
+    yield
+    spark.conf.unset(TREE_COUNTS)
+
+
+@pytest.mark.skipif(not os.environ.get("LOTWISE_WHOLE_SEARCH"), reason="hours; run it alone with LOTWISE_WHOLE_SEARCH=1")
+def test_whole_search(spark):
+    spark.conf.unset(TREE_COUNTS)
+    rows = {r["market"]: r for r in QUERIES["cv_grid"](spark, SF_DIR).collect()}
+    assert set(rows) == {"DE", "US"} and all(r["trees"] in (500, 1000) for r in rows.values())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES, key=lambda n: (n in TRAINED, n)))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     rows = df.collect()
