@@ -23,6 +23,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ from lotwise.llm.common import stored, text_slices
 
 #: characters of the texts that make a chunk, and of those that are encoded at a time
 CHUNK_CHARS = 8_000_000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 200_000
 
 
 def byte_of_character() -> dict[str, int]:
@@ -157,7 +158,7 @@ class Aligned:
 
 
 def _flat(rows: list[list[int]]) -> np.ndarray:
-    return np.array([i for row in rows for i in row], np.int64)
+    return np.fromiter(chain.from_iterable(rows), np.int64, sum(map(len, rows)))
 
 
 def _written(ids: np.ndarray, last: np.ndarray, mark: bytes) -> np.ndarray:
