@@ -28,9 +28,10 @@ import math
 import re
 import unicodedata
 from array import array
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,9 @@ TAUGHT = 200_000
 FEATURES, LEAST_TEXTS = 4096, 4
 PREFIXES = (4, 5, 6)
 TOXIC = 0.5
-#: stretches whose features a worker remembers
-REMEMBERED = 100_000
-SLICE_CHARS = 4_000_000
+#: runs whose features a worker remembers
+REMEMBERED = 300_000
+SLICE_CHARS = 2_000_000
 #: features counted by a task before it hands them on
 COUNTED_AT_ONCE = 300_000
 
@@ -66,10 +67,12 @@ _ALIKE, _KEPT_INSIDE, _KEPT_AT_END, _DROPPED_COPY, _KEPT_RUN, _PARTED = (
     math.log(p) for p in (0.1, 0.002, 0.5, 0.02, 0.01, 0.05)
 )
 
+_TRAILING = "".join(c for c in LOOKS_LIKE if not c.isalnum())
 _MARKS = "".join(re.escape(c) for c in LOOKS_LIKE if not c.isalnum())
-_ONE = rf"(?:[^\W_]|[{_MARKS}])"
+_ONE = rf"[\w{_MARKS}]"
 _SPACED = re.compile(rf"(?<![^\W_]){_ONE}(?:[{re.escape(SEPARATORS)}]{{1,2}}{_ONE}){{2,}}(?![^\W_])")
-_STRETCH = re.compile(rf"{_ONE}+")
+# with underscores between stretches: one class is found much faster than two
+_RUN = re.compile(rf"{_ONE}+")
 _WORD = re.compile(r"[^\W\d_]+")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 _FOREIGN = "".join(c for c in LOOKS_LIKE if ord(c) > 0x3FF)
@@ -185,14 +188,20 @@ def decode(ways: list[list[tuple[str, float]]], model: LetterModel) -> str:
 
 
 class _Remembered(dict):
+    """Values of the latest keys. Keys that are met again move on when the older half goes."""
+
     def __init__(self, make: Callable[[str], object]) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.earlier = make, {}
 
     def __missing__(self, key: str) -> object:
-        if len(self) >= REMEMBERED:
+        value = self.earlier.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= REMEMBERED // 2:
+            self.earlier = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -201,12 +210,20 @@ class Restorer:
 
     def __init__(self, model: LetterModel) -> None:
         self.model = model
-        self.stretches = _Remembered(self._stretch)
+        self.runs = _Remembered(self.run)
+
+    def run(self, s: str) -> str:
+        """A run of letters, digits, marks and underscores, each stretch between underscores restored."""
+        return "_".join(map(self._stretch, s.split("_"))) if "_" in s else self._stretch(s)
 
     def _stretch(self, s: str) -> str:
-        if not (_DISGUISED.search(s) or _THRICE.search(s)) or not any(c.isalpha() for c in s):
+        if s.isascii() and s.isalpha():
+            return decode(lattice(s, separated=False), self.model) if _THRICE.search(s) else s
+        # marks after the last letter or digit are punctuation
+        core = s.rstrip(_TRAILING)
+        if not ((_DISGUISED.search(core) or _THRICE.search(core)) and any(c.isalpha() for c in core)):
             return s
-        return decode(lattice(s, separated=False), self.model)
+        return decode(lattice(core, separated=False), self.model) + s[len(core):]
 
     def _separated(self, m: re.Match) -> str:
         s = m.group()
@@ -214,20 +231,21 @@ class Restorer:
 
     def joined(self, text: str) -> str:
         """The lower-cased text in compatibility form, separated letters joined."""
-        plain = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower()
-        return _SPACED.sub(self._separated, plain)
+        if not text.isascii():
+            text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+        return _SPACED.sub(self._separated, text.lower())
 
     def restore(self, text: str) -> str:
-        return _STRETCH.sub(lambda m: self.stretches[m.group()], self.joined(text))
+        return _RUN.sub(lambda m: self.runs[m.group()], self.joined(text))
+
+
+def _word_features(word: str) -> tuple[str, ...]:
+    return (word, *(word[:n] + "-" for n in PREFIXES if len(word) > n))
 
 
 def features_of(words: str) -> set[str]:
     """Words and beginnings (marked by ``-``) of restored words."""
-    out = set()
-    for word in _WORD.findall(words):
-        out.add(word)
-        out.update(word[:n] + "-" for n in PREFIXES if len(word) > n)
-    return out
+    return {f for word in _WORD.findall(words) for f in _word_features(word)}
 
 
 class Reader:
@@ -237,18 +255,17 @@ class Reader:
         self.restorer, self.known = Restorer(model), known
         self.features = _Remembered(self._of)
 
-    def _of(self, stretch: str) -> tuple[str, ...]:
-        found = features_of(self.restorer._stretch(stretch))
-        return tuple(found if self.known is None else found & self.known)
+    def _of(self, run: str) -> tuple[str, ...]:
+        words = self.restorer.run(run)
+        found = _word_features(words) if words.isalpha() else features_of(words)
+        return tuple(found) if self.known is None else tuple(f for f in found if f in self.known)
 
     def __call__(self, text: str | None) -> set[str]:
-        """The same as the features of the restored text, each distinct stretch restored once."""
-        out: set[str] = set()
-        if text:
-            for found in map(self.features.__getitem__, set(_STRETCH.findall(self.restorer.joined(text)))):
-                if found:
-                    out.update(found)
-        return out
+        """The same as the features of the restored text, each distinct run restored once."""
+        if not text:
+            return set()
+        runs = set(_RUN.findall(self.restorer.joined(text)))
+        return set(chain.from_iterable(map(self.features.__getitem__, runs)))
 
 
 def restored(text: Column, model: LetterModel) -> Column:
@@ -277,23 +294,23 @@ def feature_counts(taught: DataFrame, letters: LetterModel) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(letters)
-        counts: dict[str, list[int]] = {}
+        counts = Counter(), Counter()
         for batch in batches:
             for some in text_slices(batch, 0, SLICE_CHARS):
                 for text, label in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    for f in reader(text):
-                        counts.setdefault(f, [0, 0])[label] += 1
-                    if len(counts) >= COUNTED_AT_ONCE:
-                        yield _counted(counts)
-                        counts = {}
-        yield _counted(counts)
+                    counts[label].update(reader(text))
+                    if sum(map(len, counts)) >= COUNTED_AT_ONCE:
+                        yield _counted(*counts)
+                        counts = Counter(), Counter()
+        yield _counted(*counts)
 
     rows = taught.select("text", "label").mapInArrow(count, "feature string, clean bigint, toxic bigint")
     return rows.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _counted(counts: dict[str, list[int]]) -> pa.RecordBatch:
-    columns = [pa.array(list(counts), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))]
+def _counted(clean: Counter[str], toxic: Counter[str]) -> pa.RecordBatch:
+    names = list(clean.keys() | toxic.keys())
+    columns = [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (clean, toxic))]
     return pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
 
 
