@@ -10,10 +10,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
+import public_tokenizers
 import pyarrow.parquet as pq
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
 
-from lotwise.llm import forest, queries
+from lotwise.llm import bpe, forest, ppm, queries
+from lotwise.llm.common import residue
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables are not there")
@@ -140,3 +144,65 @@ def test_mixing_uses(spark):
         tokens[r["source"]] += r["n_tokens"] if r["epoch"] == 0 else 0
         used[r["source"]] += r["n_tokens"]
     assert max(used[s] / tokens[s] for s in tokens) <= queries.REPEATS + 1e-9
+
+
+def test_byte_pair_digests(spark, texts):
+    ranks = bpe.read_ranks(open(public_tokenizers.path(queries.BPE_VOCABULARY), "rb").read())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r["doc_id"]: r for r in run(spark, "op1_bpe")}
+    assert set(found) == set(texts)
+    for i, text in texts.items():
+        ids = library.encode_ordinary(text)
+        expected = (len(ids), sha(",".join(map(str, ids)).encode()), sha(text.encode()))
+        assert (found[i]["n_tokens"], found[i]["ids_sha256"], found[i]["decoded_sha256"]) == expected
+
+
+def test_packed_ids_read_back(spark, texts):
+    library = Tokenizer.from_file(public_tokenizers.path(queries.WORD_VOCABULARY))
+    found, start = {r["doc_id"]: r for r in run(spark, "op10_packing")}, 0
+    assert set(found) == set(texts)
+    for i in sorted(texts):
+        ids = np.array([*library.encode(texts[i], add_special_tokens=False).ids, queries.END_ID], "<u4")
+        assert (found[i]["start"], found[i]["n_tokens"], found[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def plain_byte_scores(taught, asked, order):
+    """Counts of every context in dictionaries; half of each count's unit escapes, longer contexts' bytes are excluded."""
+    tables = [{} for _ in range(order + 1)]
+
+    def bytes_of(text):
+        return [255] * order + list(" ".join(words(text)).encode()) + [254]
+
+    for text in taught:
+        data = bytes_of(text)
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                tables[k].setdefault(tuple(data[i - k : i]), Counter())[data[i]] += 1
+
+    def log10(data, i):
+        total_log, excluded = 0.0, set()
+        for k in range(order, -1, -1):
+            table = tables[k].get(tuple(data[i - k : i]))
+            if table is None:
+                continue
+            left = {b: n for b, n in table.items() if b not in excluded}
+            if data[i] in left:
+                return total_log + math.log10((2 * left[data[i]] - 1) / (2 * sum(left.values())))
+            if left:
+                total_log += math.log10(len(left) / (2 * sum(left.values())))
+            excluded = set(table)
+        return total_log - math.log10(255 - len(tables[0].get((), ())))
+
+    return [sum(log10(data, i) for i in range(order, len(data))) for data in map(bytes_of, asked)]
+
+
+@pytest.mark.parametrize("order", [2, 4, 5])
+def test_scores_of_a_plain_trie(spark, order):
+    rows = [(i, t) for i, t in enumerate(
+        ["the cat sat", "The dog sat on the mat", "", None, "a cat and a dog", "zebra", "the the the", "Mat, cat!", "é ü é", "on and on and on", "sat at the mat"])]
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 0 for i, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["score"] for r in ppm.text_scores(docs, residue(forest.F.col("doc_id"), 3) == 0, order=order).collect()}
+    expected = plain_byte_scores([t or "" for i, t in rows if not held[i]], [t or "" for _, t in rows], order)
+    assert any(held.values()) and [found[i] for i, _ in rows] == pytest.approx(expected, rel=1e-5)
