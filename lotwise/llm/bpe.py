@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lotwise.llm.common import text_slices
 
 #: pieces of text whose ids a worker remembers; a matter of memory and speed only
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 #: places for the verdicts on pairs of tokens, a power of two; eight bytes each
 PAIR_PLACES = 1 << 20
 #: bytes of text that are encoded at a time
@@ -42,7 +42,7 @@ def read_ranks(blob: bytes) -> dict[bytes, int]:
 class Merges:
     """The merge rules of a vocabulary: ranks of byte strings, lowest rank first, leftmost first among equals."""
 
-    def __init__(self, ranks: dict[bytes, int], unreachable: frozenset[int] | None = None) -> None:
+    def __init__(self, ranks: dict[bytes, int], known: bytes | None = None) -> None:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
@@ -50,39 +50,106 @@ class Merges:
         self.pairs = array("q", [-1]) * PAIR_PLACES
         self.bits = max(self.tokens).bit_length()
         # tokens that merging their own bytes does not give can stand for a whole piece only
-        self.unreachable = unreachable if unreachable is not None else frozenset(
-            rank for token, rank in ranks.items() if self.merge(token) != [rank]
-        )
+        self.made_of: list[tuple[int, int] | None] = [None] * (1 + max(self.tokens))
+        if known is None:
+            self.unreachable = frozenset(rank for token, rank in ranks.items() if self.merge(token) != [rank])
+        else:
+            parts = np.frombuffer(known, "<i4").reshape(-1, 2).tolist()
+            self.unreachable = frozenset(t for t in self.tokens if parts[t][0] < 0)
+            self.made_of = [tuple(p) if p[0] >= 0 else None for p in parts]
+        # merges of reachable tokens by the pair that is merged
+        reachable = [t for t in self.tokens if t not in self.unreachable]
+        self.joined = {a << self.bits | b: t for t in reachable for a, b in [self.parts_of(t)] if a != t}
         self.finder = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if rank not in self.unreachable:
                 self.finder.add_word(token.decode("latin-1"), (rank, len(token)))
         self.finder.make_automaton()
 
-    def merge(self, piece: bytes) -> list[int]:
-        """The definition: merge the pair of lowest rank until there is none."""
+    def merge(self, piece: bytes, below: int | None = None) -> list[int]:
+        """The definition: merge the pair of lowest rank until there is none (of a rank ``below`` a given one)."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         while len(parts) > 1:
             ranked = ((self.ranks.get(a + b), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             best = min(((r, i) for r, i in ranked if r is not None), default=None)
-            if best is None:
+            if best is None or (below is not None and best[0] >= below):
                 break
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return [self.ranks[p] for p in parts]
 
+    def packed(self) -> bytes:
+        """What is known of all tokens, for ``known`` of another instance."""
+        return np.array([p or (-1, -1) for p in self.made_of], "<i4").tobytes()
+
+    def parts_of(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge is ``token``; a single byte is both itself."""
+        known = self.made_of[token]
+        if known is None:
+            data = self.tokens[token]
+            known = (token, token) if len(data) == 1 else tuple(self.merge(data, below=token))
+            self.made_of[token] = known
+        return known
+
+    def stand_apart(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both gives the two tokens again.
+
+        Their own merges are taken back, latest first; what touches across the border meanwhile must not have a merge
+        that would have come earlier than the one taken back.
+        """
+        limit = len(self.made_of)
+        while True:
+            joint = self.joined.get(left << self.bits | right)
+            if joint is not None and joint < limit:
+                return False
+            if left > right:
+                limit, left = left, self.parts_of(left)[1]
+                if left == limit:
+                    limit, right = right + 1, self.parts_of(right)[0]
+                    if right + 1 == limit:
+                        return True
+            else:
+                limit, right = right + 1, self.parts_of(right)[0]
+                if right + 1 == limit:
+                    limit, left = left, self.parts_of(left)[1]
+                    if left == limit:
+                        return True
+
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens can stand next to each other in an encoding."""
         pair = left << self.bits | right
         place = pair * 0x9E3779B1 >> 7 & PAIR_PLACES - 1
         known = self.pairs[place]
         if known >> 1 != pair:
-            known = pair << 1 | (self.merge(self.tokens[left] + self.tokens[right]) == [left, right])
+            known = pair << 1 | self.stand_apart(left, right)
             self.pairs[place] = known
         return known & 1 == 1
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        """The walk of ``PrefixTable`` over one piece that is not extended or edited."""
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self, piece).ids()
+        if whole is not None:
+            return [whole]
+        pairs, bits, mask, apart = self.pairs, self.bits, PAIR_PLACES - 1, self.stand_apart
+        last, filled = [-1], 1
+        for at, (token, width) in self.finder.iter(piece.decode("latin-1")):
+            if at + 1 < filled:
+                continue
+            start = at + 1 - width
+            if start:
+                pair = last[start] << bits | token
+                place = pair * 0x9E3779B1 >> 7 & mask
+                known = pairs[place]
+                if known >> 1 != pair:
+                    pairs[place] = known = pair << 1 | apart(last[start], token)
+                if not known & 1:
+                    continue
+            last.append(token)
+            filled += 1
+        out, at = [], len(piece)
+        while at:
+            out.append(last[at])
+            at -= len(self.tokens[last[at]])
+        return out[::-1]
 
 
 class PrefixTable:
@@ -171,7 +238,7 @@ class TextEncoding:
 
 
 class _Remembered(dict):
-    """Ids of pieces as little-endian 32-bit bytes. Half of them at least are the latest ones; pieces that are met again
+    """Ids of pieces as bytes of 32 bits each. Half of them at least are the latest ones; pieces that are met again
     move to the new half, the others go when it is full."""
 
     def __init__(self, merges: Merges) -> None:
@@ -181,7 +248,7 @@ class _Remembered(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.earlier.get(piece)
         if ids is None:
-            ids = np.array(self.merges.encode_piece(piece.encode()), "<i4").tobytes()
+            ids = array("i", self.merges.encode_piece(piece.encode())).tobytes()
         if len(self) >= REMEMBERED // 2:
             self.earlier = dict(self)
             self.clear()
@@ -192,8 +259,8 @@ class _Remembered(dict):
 class Encoder:
     """A vocabulary and the pattern that cuts texts into pieces."""
 
-    def __init__(self, blob: bytes, pattern: str, unreachable: frozenset[int] | None = None) -> None:
-        self.merges = Merges(read_ranks(blob), unreachable)
+    def __init__(self, blob: bytes, pattern: str, known: bytes | None = None) -> None:
+        self.merges = Merges(read_ranks(blob), known)
         self.pattern = regex.compile(pattern)
         self.remembered = _Remembered(self.merges)
 
@@ -218,9 +285,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(blob: bytes, pattern: str, unreachable: frozenset[int] | None = None) -> Encoder:
+def encoder(blob: bytes, pattern: str, known: bytes | None = None) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    return Encoder(blob, pattern, unreachable)
+    return Encoder(blob, pattern, known)
 
 
 @lru_cache(maxsize=2)
@@ -239,7 +306,7 @@ class Codec:
     def __init__(self, path: str, pattern: str) -> None:
         with open(path, "rb") as f:
             blob = f.read()
-        unreachable = encoder(blob, pattern).merges.unreachable
+        known = encoder(blob, pattern).merges.packed()
 
         def encode_batch(texts: pa.Array) -> pa.Array:
             own, batch = self.encoder(), pa.RecordBatch.from_arrays([texts], ["text"])
@@ -249,16 +316,16 @@ class Codec:
         def decode_batch(ids: pa.Array) -> pa.Array:
             return decoded_lists(token_table(blob), ids)
 
-        self.blob, self.pattern, self.unreachable = blob, pattern, unreachable
+        self.blob, self.pattern, self.known = blob, pattern, known
         # each is run once per row, also when several columns are derived from its result
         self._encode = F.arrow_udf(encode_batch, "array<int>").asNondeterministic()
         self._decode = F.arrow_udf(decode_batch, "binary").asNondeterministic()
 
     def __getstate__(self) -> dict:
-        return {n: getattr(self, n) for n in ("blob", "pattern", "unreachable")}
+        return {n: getattr(self, n) for n in ("blob", "pattern", "known")}
 
     def encoder(self) -> Encoder:
-        return encoder(self.blob, self.pattern, self.unreachable)
+        return encoder(self.blob, self.pattern, self.known)
 
     def encode(self, text: Column) -> Column:
         """Ids of a text column; null gives an empty list."""
