@@ -598,7 +598,7 @@ ORACLES: dict[str, str] = {
       0.0::DOUBLE AS ausstattung_amg_line FROM n""",
 }
 
-ORACLES["de_cleaned_csv"] = ORACLES["de_clean"]
+ORACLES["de_cleaned_csv"] = ORACLES["stream_firsts"] = ORACLES["de_clean"]
 ORACLES["unknown_categories"] = _US + "SELECT count(*) AS brand, 0::BIGINT AS model, " + ", ".join(
     f"count(*) FILTER ({c} IS NULL) AS {c}" for c in _US_CATS
 ) + " FROM n"

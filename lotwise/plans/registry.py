@@ -21,6 +21,7 @@ from lotwise.plans.workspace import AS_OF, Workspace, workspace
 from lotwise.session import scratch_path
 from lotwise.sources import driver_views as views
 from lotwise.sources import raw, store
+from lotwise.streaming import append
 
 Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -209,6 +210,20 @@ def us_cleaned_csv(w: Workspace) -> DataFrame:
     return rows.select("vin", "make", "model", "price_usd", "mileage_mi", "zip_code", "accident_count", "one_owner", "car_age")
 
 
+@query
+def stream_firsts(w: Workspace) -> DataFrame:
+    """Two deliveries of files, the second with copies of the first: the rows are those of cleaning all at once."""
+    root = scratch_path(w.spark, "deliveries")
+    rows = w.raw_de.drop("row_pos")
+    half = F.pmod(F.xxhash64("URL"), F.lit(2))
+    for number, part in enumerate((rows.where(half == 0), rows)):
+        store.append_csv(part, f"{root}/in/{number}")
+        stream = append.raw_stream(w.spark, f"{root}/in/*")
+        append.append_cleaned(stream, "DE", f"{root}/cleaned", f"{root}/names").awaitTermination()
+        append.append_firsts(w.spark, "DE", f"{root}/cleaned", f"{root}/out", f"{root}/places").awaitTermination()
+    return w.spark.read.parquet(f"{root}/out").drop("batch", "piece", "row_pos")
+
+
 @query
 def csv_append(w: Workspace) -> DataFrame:
     """Rows appended in two writes, one header per file."""

@@ -211,3 +211,26 @@ def test_us_stream_reads_by_header(spark, tmp_path):
     assert sorted(values(found, "price_usd")) == [20000.0, 200001.0] and set(values(found, "make")) == {"bmw"}
     with pytest.raises(ValueError):
         append.append_cleaned(stream, "US", root, str(tmp_path / "cp2"))
+
+
+@pytest.mark.parametrize("market", ["DE", "US"])
+def test_copies_in_later_files_are_dropped_as_in_one_batch(spark, tmp_path, market):
+    """Files that arrive one after the other, with copies across them, give the rows of cleaning all at once."""
+    folder, cleaned, root = (str(tmp_path / n) for n in ("in", "cleaned", "out"))
+    if market == "DE":
+        files = [[{}, {"Titel": "AUDI A4"}], [{"Titel": "AUDI A4"}, {"Titel": "VW Polo"}, {}], [{"Titel": "VW Polo"}, {"PS": "N/A"}]]
+    else:
+        files = [[{"@id": "1"}, {"@id": "2", "vehicle_vin": None}], [{"@id": "3"}, {"@id": "4", "vehicle_vin": None, "vehicle_year": "2019"}],
+                 [{"@id": "5", "vehicle_vin": None}]]
+    make, as_of = (de, None) if market == "DE" else (us, NOW)
+    for n, rows in enumerate(files):
+        store.append_csv(make(spark, *rows).drop("row_pos").coalesce(1), f"{folder}/{n}")
+        stream = append.raw_stream(spark, f"{folder}/*")
+        append.append_cleaned(stream, market, cleaned, str(tmp_path / "cp"), as_of).awaitTermination()
+        append.append_firsts(spark, market, cleaned, root, str(tmp_path / "cp2")).awaitTermination()
+    together = make(spark, *[r for rows in files for r in rows])
+    expected = ingest.clean(together, market, as_of)
+    shown = [c for c in expected.columns if c not in ("row_pos", "created_at")]
+    found = spark.read.parquet(root)
+    assert sorted(map(str, found.select(*shown).collect())) == sorted(map(str, expected.select(*shown).collect()))
+    assert found.groupBy("piece").count().count() >= 2
