@@ -686,3 +686,9 @@ q AS (
 )
 SELECT id AS subject_id, feature, sentence, CASE WHEN a < 0 THEN '-' ELSE '+' END
   || format('{{:,}}', round_even(abs(a), 0)::BIGINT) || ' $' AS amount FROM q"""
+
+ORACLES["json_members"] = """SELECT event_id AS row_pos, 'id' AS key, event_id || '' AS value FROM events
+UNION ALL SELECT event_id, 'owner', NULL FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, 'owner_first name', event_type FROM events WHERE event_id % 3 = 1
+UNION ALL SELECT event_id, 'odd' || event_id, 'true' FROM events WHERE event_id % 500 = 0
+UNION ALL SELECT event_id, 'tags', '[{"b": null, "a": "\\u00fc, x"}, {}, ' || event_id % 3 || ']' FROM events"""

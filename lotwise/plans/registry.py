@@ -313,8 +313,17 @@ def json_vin_first(w: Workspace) -> DataFrame:
 @query
 def json_vehicle_table(w: Workspace) -> DataFrame:
     """Filter, first record per vin, flatten, sorted header."""
-    rows = records.flatten_records(records.first_per_vin(records.with_owner_history(_records(w))))
-    return columns.ragged_union([rows])
+    return records.vehicle_table(_records(w))
+
+
+@query
+def json_members(w: Workspace) -> DataFrame:
+    """Null, absent and empty members side by side, also inside lists, without a schema."""
+    third = F.col("event_id") % 3
+    owner = F.when(third == 0, '"owner": null, ').when(third == 1, F.concat(F.lit('"owner": {"first name": "'), "event_type", F.lit('", "none": {}}, '))).otherwise("")
+    odd = F.when(F.col("event_id") % 500 == 0, F.concat(F.lit('"odd'), "event_id", F.lit('": true, '))).otherwise("")
+    text = F.concat(F.lit("{"), owner, odd, F.lit('"id": '), "event_id", F.lit(', "tags": [{"b": null, "a": "ü, x"}, {}, '), third, F.lit("]}"))
+    return records.flatten_documents(w.table("events").select(F.col("event_id").alias("row_pos"), text.alias("doc")), "doc")
 
 
 # ---------------------------------------------------------------- loading

@@ -149,3 +149,18 @@ def test_ragged_union(spark):
 
 def test_flatten_of_nothing(spark):
     assert R.flatten_records(spark.createDataFrame([], StructType())).columns == []
+
+
+def test_members_without_a_schema(spark):
+    docs = ['{"a": null, "b": {"c": {"d": 1.5, "e": {}}, "list": ["x\\"y, z", {"k": null, "j": []}]}, "f": "t", "g": false}', '{"a": {"a": "in"}}',
+            "{}", "[1]", "broken {", None, '{"a": {}, "n": 12345678901234567890}']
+    rows = spark.createDataFrame(list(enumerate(docs)), "row_pos bigint, doc string")
+    found = sorted(map(tuple, R.flatten_documents(rows, "doc", sep=".").collect()))
+    assert found == [
+        (0, "a", None), (0, "b.c.d", "1.5"), (0, "b.list", '["x\\"y, z", {"k": null, "j": []}]'), (0, "f", "t"), (0, "g", "false"),
+        (1, "a.a", "in"), (6, "n", "12345678901234567890")]
+
+
+def test_no_record_with_history_stops(parsed):
+    with pytest.raises(ValueError, match="history"):
+        R.vehicle_table(parsed.where("row_pos = 5"))
