@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Known sentences of public licences, normalised on use. "*" stands for one to twelve words.
+# Known sentences of public licences, normalised on use. "*" stands for one word or more, however many.
 SENTENCES = {
     "mit-name": ("Released under the MIT License.", "Licensed under the MIT License.", "The MIT License (MIT)", "MIT License",
                  "This project is licensed under the MIT License.", "SPDX-License-Identifier: MIT"),
@@ -78,6 +78,35 @@ SENTENCES = {
     "mpl-2": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
               "SPDX-License-Identifier: MPL-2.0"),
     "rights": ("All rights reserved.",),
+    "lgpl-hope": ("This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+                  "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",),
+    "lgpl-see": ("See the GNU Lesser General Public License for more details.",),
+    "agpl-see": ("See the GNU Affero General Public License for more details.",),
+    "cc0-notice": ("To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+                   "rights to this software to the public domain worldwide.", "This work is licensed under a Creative Commons "
+                   "Zero v1.0 Universal License.", "Licensed under CC0 1.0."),
+    "cc0-warranty": ("This software is distributed without any warranty.",),
+    "unlicense-notice": ("This is free and unencumbered software released into the public domain.",),
+    "unlicense-anyone": ("Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+                         "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+                         "means.",),
+    "epl2-notice": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                    "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "This program and the accompanying materials "
+                    "are made available under the terms of the Eclipse Public License 2.0 which accompanies this distribution, and "
+                    "is available at https://www.eclipse.org/legal/epl-2.0/", "Licensed under the Eclipse Public License 2.0."),
+    "cc-by-3": ("Licensed under CC BY 3.0.", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+}
+# Licences of one wording, with the name and version that stand in it.
+GNU = {
+    "lgpl21-later": ("GNU Lesser General Public License", "2.1"), "lgpl3-later": ("GNU Lesser General Public License", "3"),
+    "agpl3-later": ("GNU Affero General Public License", "3"),
+}
+SENTENCES |= {
+    mark: tuple(
+        f"{start} you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software "
+        f"Foundation, either version {version} of the License, or (at your option) any later version."
+        for start in ("This program is free software:", "This library is free software;", "")
+    ) for mark, (name, version) in GNU.items()
 }
 
 # Ordered sequences of sentence identifiers and the licence each stands for.
@@ -106,12 +135,24 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("MPL-2.0", ("mpl-2",)),
+    ("LGPL-2.1-or-later", ("lgpl21-later", "lgpl-hope", "lgpl-see")),
+    ("LGPL-2.1-or-later", ("lgpl21-later",)),
+    ("LGPL-3.0-or-later", ("lgpl3-later", "gpl-hope", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl3-later", "lgpl-hope", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl3-later",)),
+    ("AGPL-3.0-or-later", ("agpl3-later", "gpl-hope", "agpl-see")),
+    ("AGPL-3.0-or-later", ("agpl3-later",)),
+    ("CC0-1.0", ("cc0-notice", "cc0-warranty")),
+    ("CC0-1.0", ("cc0-notice",)),
+    ("Unlicense", ("unlicense-notice", "unlicense-anyone")),
+    ("Unlicense", ("unlicense-notice",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("CC-BY-3.0", ("cc-by-3",)),
     *((x, (f"spdx-{x.lower()}",)) for x in IDENTIFIED),
 )
 
-ANY_WORDS = 12
 #: a text without any of these words holds no known sentence and none that speaks of a licence
-HINTS = re.compile(r"licen[cs]|permission|copyright|warrant|redistribut|spdx|all rights|liable|neither the name|compliance", re.I)
+HINTS = re.compile(r"licen[cs]|permission|copyright|warrant|redistribut|spdx|all rights|liable|neither the name|compliance|unencumbered|anyone is free", re.I)
 SPEAKS = re.compile(r"licen[cs]ed?$|licen[cs]ing$|copyright$|spdx$")
 _TOKEN = re.compile(r"(?P<line>\n)|(?P<word>[^\W_]+(?:[.\-/+][^\W_]+)*)|(?P<stop>[.!?;:]+)|(?P<other>[^\w\s]|_)")
 
@@ -130,18 +171,27 @@ def _known() -> dict[str, list[tuple[tuple[str, ...], str]]]:
 
 
 def _matches(words: list[str], at: int, pattern: tuple[str, ...]) -> int | None:
-    """End of the pattern in ``words`` from ``at`` on, or None."""
-    for i, p in enumerate(pattern):
-        if p == "*":
-            for skip in range(1, ANY_WORDS + 1):
-                end = _matches(words, at + skip, pattern[i + 1 :])
-                if end is not None:
-                    return end
-            return None
-        if at >= len(words) or words[at] != p:
+    """End of the pattern in ``words`` from ``at`` on, or None.
+
+    A "*" takes as many words as it needs to the nearest place where the rest of the pattern follows; it does not reach
+    over another beginning of the pattern, so a text is passed over once however often it begins.
+    """
+    if "*" not in pattern:
+        end = at + len(pattern)
+        return end if tuple(words[at:end]) == pattern else None
+    start = pattern.index("*")
+    head, rest = pattern[:start], pattern[start + 1 :]
+    if tuple(words[at : at + start]) != head:
+        return None
+    at += start + 1
+    while at < len(words):
+        end = _matches(words, at, rest)
+        if end is not None:
+            return end
+        if tuple(words[at : at + start]) == head:
             return None
         at += 1
-    return at
+    return None
 
 
 def sentence_ids(text: str) -> tuple[list[str], int]:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import time
 import random
 from collections import Counter
 
@@ -163,6 +164,25 @@ def test_licences_by_identifier(spark):
     assert [list(r["f"]["licences"]) for r in df.collect()] == [[n] for _, n in texts]
 
 
+def test_every_sentence_and_rule():
+    """Each known sentence is found under its name, each rule's sentences give its licence."""
+    for name, variants in licences.SENTENCES.items():
+        for text in variants:
+            assert licences.sentence_ids("Something else.\n" + text.replace("*", "A B, Inc. and others")) == ([name], 0), text
+    for licence, marks in licences.RULES:
+        text = "\n".join(licences.SENTENCES[m][0].replace("*", "X") for m in marks)
+        assert licences.licences_of(licences.sentence_ids(text)[0]) == ([licence], []), licence
+
+
+def test_names_of_any_length_and_many_beginnings():
+    head, tail = licences.SENTENCES["bsd-names"][0].split(" * ")
+    assert licences.sentence_ids(f"{head} {'word ' * 5000}{tail}") == (["bsd-names"], 0)
+    start = time.perf_counter()
+    assert licences.sentence_ids(f"{head}.\n" * 20_000) == ([], 0)
+    assert time.perf_counter() - start < 5
+    assert licences.sentence_ids(f"{head} one.\n{head} two {tail}")[0] == ["bsd-names"]
+
+
 def test_licences(spark, odd_docs):
     grant = " ".join(licences.SENTENCES["bsd-grant"] + licences.SENTENCES["bsd-source"] + licences.SENTENCES["bsd-binary"])
     names = licences.SENTENCES["bsd-names"][0].replace("*", "the Old Mill Company")
