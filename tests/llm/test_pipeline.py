@@ -56,3 +56,24 @@ def test_mixing_keeps_columns_with_names_made_on_the_way(spark):
     found = pipeline.mixed_sources(spark, docs, SF_DIR)
     assert found.columns == docs.columns
     assert set(map(tuple, found.collect())) == set(map(tuple, docs.collect()))
+
+
+def test_stages_on_odd_rows(spark, odd_docs, no_docs):
+    """Null, empty, long and repeated texts, null and repeated ids, clashing columns: rows go or stay whole."""
+    odd, none = (d.withColumn("lang", F.lit(None).cast("string")) for d in (odd_docs, no_docs))
+    given = Counter(map(tuple, odd.collect()))
+    for name, stage in pipeline.STAGES:
+        found = stage(spark, odd, SF_DIR)
+        if name == "token_ids":
+            assert Counter(r["doc_id"] for r in found.collect()) == Counter(r[0] for r in given.elements())
+            assert stage(spark, none, SF_DIR).collect() == []
+            continue
+        rows = Counter(map(tuple, found.collect()))
+        assert found.columns == odd.columns and set(rows) <= set(given), name
+        if name == "near_copies":
+            # of the texts that agree one stays, texts without words are in no class
+            texts = Counter(r[odd.columns.index("text")] for r in rows.elements())
+            assert texts["same text here for all of them"] == 1 and set(texts) == {r[odd.columns.index("text")] for r in given}
+        if name == "mixing":
+            assert set(rows) == set(given)
+        assert stage(spark, none, SF_DIR).collect() == [], name
