@@ -314,10 +314,11 @@ def one_of_each(docs: DataFrame, words: int, percent: int, key: str = "doc_id",
     The text with the smallest ``key`` stays (null first), among equal keys the one with the smallest hash; rows that
     agree in key and text are one. Texts without shingles are in no class and stay.
     """
-    # 128 bits, so that two rows are one only if they agree
-    tied = docs.withColumn("__tie", F.struct(F.xxhash64(F.col(key), F.col(text)).alias("a"), F.xxhash64(F.lit("tie"), F.col(text), F.col(key)).alias("b")))
-    known = linked_classes(tied.select(F.struct(F.col(key).alias("k"), "__tie").alias("key"), text), words, percent, "key", text)
+    # 128 bits, so that two rows are one only if they agree; two plain columns, so that joining and keeping one share a shuffle
+    ties = ["__tie_a", "__tie_b"]
+    tied = docs.withColumns({ties[0]: F.xxhash64(F.col(key), F.col(text)), ties[1]: F.xxhash64(F.lit("tie"), F.col(text), F.col(key))})
+    known = linked_classes(tied.select(F.struct(F.col(key).alias("k"), *ties).alias("key"), text), words, percent, "key", text)
     ranked = known.where("component IS NOT NULL").groupBy("component").agg(F.min("key").alias("kept"))
     kept = ranked.select("kept.*").unionByName(known.where("component IS NULL").select("key.*")).distinct()
-    kept = stored(kept.select(F.col("__tie")), "kept")
-    return tied.join(kept, "__tie", "left_semi").dropDuplicates(["__tie"]).drop("__tie")
+    kept = stored(kept.select(*ties), "kept")
+    return tied.join(kept, ties, "left_semi").dropDuplicates(ties).drop(*ties)
