@@ -3,13 +3,15 @@ from __future__ import annotations
 import random
 import statistics
 
+import pandas as pd
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lotwise.functions.documents import slices
 from lotwise.operators import columns as C
-from lotwise.operators import medians
+from lotwise.operators import features, medians, pages
 from lotwise.operators import records as R
 from lotwise.operators.medians import column_medians, grouped_median
 from lotwise.operators.ranking import assign_ids, in_ranges, with_global_rank, with_ordinal
@@ -164,3 +166,18 @@ def test_members_without_a_schema(spark):
 def test_no_record_with_history_stops(parsed):
     with pytest.raises(ValueError, match="history"):
         R.vehicle_table(parsed.where("row_pos = 5"))
+
+
+def test_documents_are_parsed_once(spark):
+    """An explode behind the Python step brings no second one, and long documents go slice by slice."""
+    docs = spark.range(1000).select(F.col("id").alias("listing_id"), F.concat(F.lit('{"A": "x'), "id", F.lit('"}')).alias("ai_features"))
+    found = features.with_pairs(docs).where("kv is not null").select("listing_id", F.explode("kv").alias("kv"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {(r[0], r[1]) for r in found.select("listing_id", "kv.value").collect()} == {(i, f"x{i}") for i in range(1000)}
+    links = pages.all_links(spark.createDataFrame([(1, "u", '<a href="/fahrzeuge/details.html?id=1">x</a>')], "page_id int, url string, html string"))
+    assert links._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1 and links.count() == 1
+
+
+def test_slices_hold_few_rows():
+    got = list(slices(iter([pd.Series(range(450)), pd.Series(range(3))])))
+    assert [len(s) for s in got] == [200, 200, 50, 3] and [x for s in got for x in s] == [*range(450), *range(3)]
