@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +64,11 @@ def scorer(model: PriceModel) -> Scorer:
     return lambda df: predict_prices(model, df).drop("features")
 
 
-def unknown_categories(model: PriceModel, df: DataFrame) -> DataFrame:
-    """Rows per categorical column whose value the model never saw; they score with zeros."""
-    texts = prepare(df, [], model.categorical)
-    indexed = model.pipeline.stages[0].transform(texts)
-    sizes = {c: len(v) for c, v in zip(model.pipeline.stages[0].getInputCols(), model.pipeline.stages[0].labelsArray)}
+def unknown_categories(model: PriceModel | PipelineModel, df: DataFrame) -> DataFrame:
+    """Rows per categorical column whose value the model, or its encoder, never saw; they score with zeros."""
+    indexer = (model.pipeline if isinstance(model, PriceModel) else model).stages[0]
+    sizes = {c: len(v) for c, v in zip(indexer.getInputCols(), indexer.labelsArray)}
+    indexed = indexer.transform(prepare(df, [], list(sizes)))
     return indexed.agg(*[F.count_if(F.col(f"{c}__index") >= n).alias(c) for c, n in sizes.items()])
 
 

@@ -105,6 +105,12 @@ def encoder(numeric: Sequence[str], categorical: Sequence[str]) -> Pipeline:
     )
 
 
+def fit_encoder(rows: DataFrame, market: str) -> PipelineModel:
+    """The encoder that a price model of these rows has; it is known before any tree."""
+    kept = require_rows(eligible(rows, market), "no row is left to train on")
+    return encoder(*feature_columns(kept.columns, market)).fit(kept)
+
+
 def vocabulary(fitted: PipelineModel) -> dict[str, list[str]]:
     """Sorted categories per encoded column."""
     indexer = next(s for s in fitted.stages if isinstance(s, StringIndexerModel))

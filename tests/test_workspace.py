@@ -48,3 +48,16 @@ def test_cv_grid_searches_both_markets(spark, searched):
     rows = {r["market"]: r for r in registry.cv_grid(w).collect()}
     assert found == V.GRIDS and set(rows) == {"DE", "US"}
     assert all((r["max_depth"], r["step_size"], r["trees"], r["mae"]) == (6, 0.05, 500, 1.0) for r in rows.values())
+
+
+def test_unknown_categories_grow_no_tree(spark, monkeypatch):
+    def fail(*args, **kw):
+        raise AssertionError("a search was started")
+
+    monkeypatch.setattr(training, "fit_price_model", fail)
+    row = [(1, 100.0, 1.0, 1.0, "a", "m"), (2, 100.0, 1.0, 1.0, "b", "n"), (3, None, 1.0, 1.0, "c", "n")]
+    rows = spark.createDataFrame(row, "listing_id bigint, price double, mileage double, car_age double, brand string, model string")
+    monkeypatch.setattr(workspace.Workspace, "rows_us", rows)
+    monkeypatch.setattr(workspace.Workspace, "cars_us", rows)
+    found = registry.unknown_categories(workspace.Workspace(spark, "none")).first()
+    assert (found["brand"], found["model"]) == (3, 0)
