@@ -61,3 +61,14 @@ def test_unknown_categories_grow_no_tree(spark, monkeypatch):
     monkeypatch.setattr(workspace.Workspace, "cars_us", rows)
     found = registry.unknown_categories(workspace.Workspace(spark, "none")).first()
     assert (found["brand"], found["model"]) == (3, 0)
+
+
+@pytest.mark.parametrize("name", ["raw_de", "raw_us"])
+def test_raw_views_write_nothing(spark, monkeypatch, name):
+    """A query on few raw columns makes these only; no wide text table is stored for it."""
+    def fail(*args, **kw):
+        raise AssertionError("a raw table was written")
+
+    monkeypatch.setattr(workspace, "write_table", fail)
+    view = getattr(workspace.Workspace(spark, "/root/testdata/sf0.001"), name).select("row_pos")
+    assert "c_mktsegment" not in view._jdf.queryExecution().executedPlan().toString() and view.count() > 0
