@@ -19,6 +19,7 @@ descending order; a single row is its own successor; an empty table gives an emp
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,13 +55,25 @@ def _chains(words: Column, start: str) -> Column:
     return F.regexp_extract_all(words, F.lit(rf"(?<![^ ])(?=({start}(?:{link}){{{CHAIN}}}))"), F.lit(1))
 
 
+def _once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with the value worked out once, however often ``fn`` names it.
+
+    Expressions around lambda functions are not looked through for common parts, so a text's words and chains would
+    be made again wherever they are named.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def signatures(text: Column) -> Column:
     """The fingerprint of a text column: sorted distinct hashes as ``array<int>``."""
-    words = _words(text)
-    found = _chains(words, _any(ANCHORS))
-    anywhere = F.when(F.size(found) > 0, found).otherwise(_chains(words, "[^ ]++"))
-    every = F.when(F.size(anywhere) > 0, anywhere).otherwise(F.array(words))
-    return F.array_sort(F.array_distinct(F.transform(every, lambda s: F.hash(s))))
+
+    def chains(words: Column) -> Column:
+        first = lambda found: _once(F.when(F.size(found) > 0, found).otherwise(_chains(words, "[^ ]++")), every)
+        every = lambda anywhere: F.when(F.size(anywhere) > 0, anywhere).otherwise(F.array(words))
+        return _once(_chains(words, _any(ANCHORS)), first)
+
+    found = _once(_words(text), chains)
+    return F.array_sort(F.array_distinct(F.transform(found, lambda s: F.hash(s))))
 
 
 def as_text(found: Column) -> Column:

@@ -219,3 +219,14 @@ def test_spot_likeness(spark, odd_docs, no_docs):
     follows = {r["key"]: r["next_text"] for r in lined if r["key"] in (9, 6)}
     assert follows == {9: "same text here for all of them", 6: "one"}
     assert spots.with_successor(no_docs, "doc_id", "text").collect() == []
+
+
+def test_signatures_make_words_once(spark):
+    """A text's words and its chains are worked out at one place of the expression each."""
+    texts = ["the cat sat on the mat", "nothing common here", "", "lone", "The The a B c"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(spots.signatures(F.col("text")).alias("found"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1 and plan.count("regexp_extract_all(") == 2
+    chains = (["the cat sat"], ["nothing common here"], [""], ["lone"], ["the the a b c", "the a b c", "a b c"])
+    hashed = [sorted(spark.sql("SELECT " + ", ".join(f"hash('{c}')" for c in some)).first()) for some in chains]
+    assert [r["found"] for r in df.collect()] == hashed
