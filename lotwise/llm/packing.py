@@ -18,9 +18,13 @@ range nor many rows with one id meet in one task; a file holds a bounded number
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +54,10 @@ def pack(ids: np.ndarray, width: int) -> np.ndarray:
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"an id needs more than {width} bits")
     groups = -(-len(ids) // 64)
+    if width == 16:  # a quarter of a word each: numbers of two bytes, one after the other
+        halves = np.zeros(groups * 64, "<u2")
+        halves[: len(ids)] = ids
+        return halves.view("<u8")
     full = np.zeros((groups, 64), "<u8")
     full.reshape(-1)[: len(ids)] = ids
     words = np.zeros((groups, width), "<u8")
@@ -63,6 +71,8 @@ def pack(ids: np.ndarray, width: int) -> np.ndarray:
 
 def unpack(words: np.ndarray, width: int, count: int) -> np.ndarray:
     """The first ``count`` ids of packed words."""
+    if width == 16:
+        return words.view("<u2")[:count].astype("<u4")
     words = words.reshape(-1, width)
     out = np.empty((len(words), 64), "<u8")
     mask = np.uint64((1 << width) - 1)
@@ -138,6 +148,34 @@ def segments(content: bytes) -> Iterator[Segment]:
         at += found.size + 1
 
 
+#: marks at a word's end that are a token run of their own behind a letter or digit
+MARKS = ".,;:!?"
+#: words that are encoded in one text
+JOINED = 200
+_LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
+_WORD_END = "</w>"
+_CUTTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _cores(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words in small letters without the marks at their end, and how many marks each has lost.
+
+    That changes no id where what is left ends in a letter or digit: a tokenizer of this kind lower-cases, and takes
+    letters, digits and other characters apart. All other words, and those that may hold a special string, stay whole.
+    """
+    words = words.cast(pa.string())
+    cores = pc.ascii_rtrim(pc.ascii_lower(words), MARKS)
+    sizes, left = (pc.binary_length(c).to_numpy().astype(np.int64) for c in (words, cores))
+    _, offsets, data = cores.buffers()
+    data = np.frombuffer(data or b"", np.uint8)
+    ends = np.frombuffer(offsets, np.int32)[cores.offset : cores.offset + len(cores) + 1][1:].astype(np.int64)
+    last, before = (np.where(left >= n, data[np.maximum(ends - n, 0)], 0) if len(data) else np.zeros(len(left)) for n in (1, 2))
+    plain = ((last >= 97) & (last <= 122)) | ((last >= 48) & (last <= 57))
+    accented = (before == 0xC3) & (last >= 0x80) & (last <= 0xBF) & (last != 0x97) & (last != 0xB7)
+    apart = (plain | accented) & ~pc.match_substring(words, "<").to_numpy(zero_copy_only=False)
+    return pc.if_else(pa.array(apart), cores, words), np.where(apart, sizes - left, 0)
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that drops white space.
 
@@ -151,19 +189,67 @@ class WordTokenizer:
 
         self.tokenizer, self.words_apart = Tokenizer.from_str(blob.decode()), words_apart
         self.remembered: dict[str, bytes] = {}
+        self.cut = self._takes_letters_apart(json.loads(blob))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+
+    @staticmethod
+    def _takes_letters_apart(settings: dict) -> bool:
+        """Whether the file lower-cases, cuts by the usual pattern and marks ends of words."""
+        steps = (settings.get("normalizer") or {}).get("normalizers", [])
+        cutters = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        return (
+            [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"]
+            and [c["type"] for c in cutters] == ["Split", "ByteLevel"] and not cutters[1]["use_regex"]
+            and cutters[0]["pattern"].get("Regex") == _CUTTING and cutters[0]["behavior"] == "Removed" and cutters[0]["invert"]
+            and settings["model"]["type"] == "BPE" and settings["model"]["end_of_word_suffix"] == _WORD_END
+            and not settings["model"]["dropout"]
+        )
+
+    def _one_by_one(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        for start in range(0, len(words), 10_000):
+            some = words[start : start + 10_000]
+            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            yield from ((w, array("I", e.ids).tobytes()) for w, e in zip(some, found))
+
+    def _joined(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Words of letters alone: each has exactly one token that ends a word, its last, so many go in one text."""
+        for start in range(0, len(words), 50 * JOINED):
+            some = words[start : start + 50 * JOINED]
+            texts = [" ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = array("I", chain.from_iterable(e.ids for e in found))
+            stops = ((np.flatnonzero(self.ends[np.frombuffer(ids, np.uint32)]) + 1) * 4).tolist()
+            if len(stops) != len(some):
+                yield from self._one_by_one(some)
+                continue
+            raw = ids.tobytes()
+            yield from ((w, raw[a:b]) for w, a, b in zip(some, [0, *stops], stops))
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
-        missing = [w for w in words if w not in self.remembered]
-        fresh = {}
-        for start in range(0, len(missing), 10_000):
-            some = missing[start : start + 10_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found))
-        room = REMEMBERED - len(self.remembered)
-        out = [self.remembered.get(w) or fresh.get(w, b"") for w in words]
-        self.remembered.update((w, fresh[w]) for w in missing[: max(0, room)])
+        remembered = self.remembered
+        out = list(map(remembered.get, words))
+        empty = [i for i, found in enumerate(out) if found is None]
+        missing = dict.fromkeys(words[i] for i in empty)
+        letters = [w for w in missing if _LETTERS.fullmatch(w)] if self.cut else []
+        missing.update(self._joined(letters))
+        missing.update(self._one_by_one([w for w, ids in missing.items() if ids is None]))
+        for i in empty:
+            out[i] = missing[words[i]]
+        remembered.update(islice(missing.items(), max(0, REMEMBERED - len(remembered))))
         return out
 
+    def _ids_of_words(self, words: pa.Array) -> list[bytes]:
+        if not self.cut:
+            return self._ids_of(words.to_pylist())
+        cores, marks = _cores(words)
+        parts, marked = self._ids_of(cores.to_pylist()), np.flatnonzero(marks)
+        tails = [w[-n:] for w, n in zip(words.take(pa.array(marked)).to_pylist(), marks[marked].tolist())]
+        for i, tail in zip(marked.tolist(), self._ids_of(tails)):
+            parts[i] += tail
+        return parts
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids per text, and all ids one after the other."""
         texts = pc.fill_null(texts, "")
@@ -172,7 +258,7 @@ class WordTokenizer:
             return np.array([len(e) for e in found], np.int64), np.array([i for e in found for i in e.ids], "<u4")
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         coded = lists.flatten().dictionary_encode()
-        parts = self._ids_of(coded.dictionary.to_pylist())
+        parts = self._ids_of_words(coded.dictionary)
         sizes = np.array([len(p) // 4 for p in parts], np.int64)
         starts, values = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(parts), "<u4")
         codes = coded.indices.to_numpy()

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -45,3 +47,27 @@ def test_files(spark, odd_docs, no_docs, apart, monkeypatch):
         assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
         at += r["n_tokens"]
     assert packing.read_packed(spark, packing.write_packed(no_docs, PATH)).collect() == []
+
+
+def test_word_ids_are_the_librarys_and_words_of_letters_go_together():
+    """Marks, capitals, accents, digits, special strings: the ids of whole words; letters alone are encoded in few texts."""
+    rng = random.Random(5)
+    letters = "abstzAZ09\u00e9\u00c9\u00df\u00d7\u00f7\u0130\u0301\u0307\u00bc\u03a3\u212a'.,;:!?-<|>_()*\u6f22\u037e"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(20_000)]
+    words += ["it's.", "IT'S,", "<|endoftext|>.", "<|ENDOFTEXT|>", "a<|endoftext|>b!", "...", "x...", "5.", "\u00e9!", "e\u0301.", "'ll."]
+    plain = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz\u00e0\u00ff", k=9)) for _ in range(5000)]
+    with open(PATH, "rb") as f:
+        own = packing.WordTokenizer(f.read())
+    library, calls = own.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **kw):
+            calls.extend(texts)
+            return library.encode_batch_fast(texts, **kw)
+
+    own.tokenizer = Counting()
+    for some in (plain, words):
+        counts, ids = own.encode(pa.array([" ".join(some[i : i + 7]) for i in range(0, len(some), 7)]))
+        expected = [library.encode(" ".join(some[i : i + 7]), add_special_tokens=False).ids for i in range(0, len(some), 7)]
+        assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+        assert some is not plain or len(calls) <= len(plain) // 100
