@@ -46,6 +46,8 @@ ROW_BYTES = 64
 MARKS = 16
 #: bytes of text that are turned into arrays at once
 PIECE_BYTES = 2_000_000
+#: bytes of text that are scored at once; a byte takes some 80 bytes of memory while it is looked up
+SCORED_BYTES = 500_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -155,12 +157,13 @@ class Trie:
         return out
 
 
-def _pieces(texts: list[str | None]) -> Iterator[list[bytes]]:
+def _pieces(texts: list[str | None], most: int | None = None) -> Iterator[list[bytes]]:
+    most = most or PIECE_BYTES
     piece, size = [], 0
     for t in texts:
         piece.append(normal_bytes(t))
         size += len(piece[-1])
-        if size >= PIECE_BYTES:
+        if size >= most:
             yield piece
             piece, size = [], 0
     if piece:
@@ -459,10 +462,12 @@ def text_scores(
         gram_logs = _numbers(grams.column("n"), "<f4")[0]
         gram_keys = np.repeat(own_branch.astype(np.int64) << 32, sizes)
         gram_keys |= rest
-        del rest
+        del rest, grams, rows_, order_
         if (own_branch[1:] == own_branch[:-1]).any():
             place = np.argsort(gram_keys, kind="stable")
-            gram_keys, gram_logs = gram_keys[place], gram_logs[place]
+            gram_keys = gram_keys[place]
+            gram_logs = gram_logs[place]
+            del place
         shared = facts.filter(pa.array(kind == 1)).select(["items", "n"])
         keys, counts = _numbers(shared.column("items"), "<i8")[0], _numbers(shared.column("n"), "<f8")[0]
         place = np.argsort(keys)
@@ -471,13 +476,13 @@ def text_scores(
         times = np.where(texts.column("held_out").to_numpy(), 0, texts.column("copies").to_numpy())
         only = texts.select(["text"])
 
-        def pieces() -> Iterator[list[bytes]]:
+        def pieces(most: int) -> Iterator[list[bytes]]:
             for batch in only.to_batches():
-                for some in text_slices(batch, 0, PIECE_BYTES):
-                    yield from _pieces(some.column(0).to_pylist())
+                for some in text_slices(batch, 0, most):
+                    yield from _pieces(some.column(0).to_pylist(), most)
 
         local, at = _Tally(), 0
-        for piece in pieces():  # words of this chunk alone are counted here
+        for piece in pieces(PIECE_BYTES):  # words of this chunk alone are counted here
             keys, sizes = _words_of(piece)
             local.add(keys, np.repeat(times[at : at + len(piece)], sizes))
             at += len(piece)
@@ -488,7 +493,7 @@ def text_scores(
             c = np.where(elsewhere >= 0, word_counts[elsewhere], c)
         logs = np.log10(c + 0.1)
         out: list[list[np.ndarray]] = [[], [], [], []]
-        for piece in pieces():
+        for piece in pieces(SCORED_BYTES):
             codes, lengths = grams_of(piece, order)
             branch, rest = _split_grams(codes)
             logs_ = gram_logs[_found(gram_keys, branch << 32 | rest)].astype(float)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotwise.llm import align, bpe, chat, codes, forest, licences, mixing, ngram_join, packing, ppm, quality, spots, toxicity
 from lotwise.llm.common import hex_digest, residue, table
 from lotwise.llm.oracles import ORACLES
+from lotwise.session import apply_settings
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -111,6 +112,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_settings(spark)  # whole chunks go to Python, in batches bounded by bytes
     docs = table(spark, sf_dir, "documents")
     return ppm.text_scores(docs, residue(F.col("doc_id"), 10) == 0)
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import time
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -230,3 +231,16 @@ def test_signatures_make_words_once(spark):
     chains = (["the cat sat"], ["nothing common here"], [""], ["lone"], ["the the a b c", "the a b c", "a b c"])
     hashed = [sorted(spark.sql("SELECT " + ", ".join(f"hash('{c}')" for c in some)).first()) for some in chains]
     assert [r["found"] for r in df.collect()] == hashed
+
+
+def test_scored_pieces_take_little_memory():
+    """What a worker holds while it looks up the grams of one piece."""
+    texts = ["some words of a text that is long enough, number %d. " % i * 20 for i in range(5000)]
+    keys = np.unique(ppm.grams_of([ppm.normal_bytes(t) for t in texts[:50]], 5)[0])
+    tracemalloc.start()
+    for piece in ppm._pieces(texts, ppm.SCORED_BYTES):
+        codes, _ = ppm.grams_of(piece, 5)
+        ppm._found(keys, codes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000
