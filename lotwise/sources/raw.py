@@ -82,18 +82,24 @@ def read_cleaned(spark: SparkSession, path: str, market: str, fmt: str = "parque
     return read_csv(spark, path, _CLEANED[market.upper()])
 
 
-def read_json_pages(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_json_pages(spark: SparkSession, path: str, schema: StructType | None = None, lines: bool = False) -> DataFrame:
     """Records of landed JSON pages ``{"data": [...]}``; an empty page gives no rows.
 
-    Without a schema Spark derives the union of all keys from the files. ``row_pos`` is the position in
-    the input.
+    A file is one page, or has one page in each line if ``lines`` is set: such files can hold any number of pages and are
+    read in splits. Without a schema Spark derives the union of all keys from the files. ``row_pos`` is the position
+    in the input; with ``lines`` positions have gaps.
     """
-    reader = spark.read.option("multiLine", True)
-    pages = (reader.schema(schema) if schema else reader).json(path).withColumn("__file", F.input_file_name())
-    records = pages.select("__file", F.posexplode("data").alias("row_pos", "record"))
-    ranked = pages.select("__file").distinct().withColumn("__rank", F.row_number().over(Window.orderBy("__file")) - 1)
+    reader = spark.read.option("multiLine", not lines)
+    found = (reader.schema(schema) if schema else reader).json(path)
+    split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    pages = found.withColumn("__split", split)
+    records = pages.select("__split", F.posexplode("data").alias("row_pos", "record"))
+    splits = pages.select("__split").distinct()
+    ranked = splits.withColumn("__rank", F.row_number().over(Window.orderBy("__split")) - 1)
+    if lines:  # a split is read by one task, so numbers inside a task grow along it
+        records = records.withColumn("row_pos", F.monotonically_increasing_id().bitwiseAND(FILE_ROWS - 1))
     place = F.col("__rank").cast("bigint") * F.lit(FILE_ROWS) + F.col("row_pos")
-    return records.join(ranked, "__file").select("record.*", place.alias("row_pos"))
+    return records.join(ranked, "__split").select("record.*", place.alias("row_pos"))
 
 
 def page_records(pages: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from test_cleaning import NOW, de, us
 
 from lotwise.operators import loading, market
-from lotwise.plans import ingest
+from lotwise.plans import ingest, registry
+from lotwise.plans.workspace import workspace
 from lotwise.session import scratch_path
 from lotwise.sources import raw, store
 from lotwise.streaming import append
@@ -103,6 +104,29 @@ def test_json_pages(spark, tmp_path):
     assert sorted(values(rows, "vin")) == ["A", "B"] and {"history", "x", "row_pos"} < set(rows.columns)
 
 
+def test_json_pages_in_lines(spark, tmp_path):
+    """Many pages to a file, read in splits: all records in their order, keys of some pages in all."""
+    for name, first in (("a", 0), ("b", 1000)):
+        pages = [{"data": [{"id": first + 2 * i}, {"id": first + 2 * i + 1, "extra": "x" * 50}] if i % 3 else []} for i in range(300)]
+        (tmp_path / f"{name}.json").write_text("\n".join(map(json.dumps, pages)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = raw.read_json_pages(spark, str(tmp_path), lines=True)
+        assert rows.rdd.getNumPartitions() > 1 and rows.columns == ["extra", "id", "row_pos"]
+        found = rows.orderBy("row_pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["id"] for r in found] == [f + 2 * i + j for f in (0, 1000) for i in range(300) if i % 3 for j in (0, 1)]
+    assert len({r["row_pos"] for r in found}) == len(found) == 800 and all((r["extra"] is None) == (r["id"] % 2 == 0) for r in found)
+
+
+def test_inferred_pages_do_not_have_a_file_each(spark):
+    w = workspace(spark, "/root/testdata/sf0.01")
+    rows = registry.QUERIES["json_pages_inferred"](w)
+    assert rows.count() == w.table("events").count() and len(rows.inputFiles()) < w.table("events").count() // 200
+
+
+
 def test_bucketed_tables_join_without_shuffle(spark):
     a = store.write_bucketed(spark.range(1000).toDF("id"), "bucketed_a", scratch_path(spark, "a"), "id", 4)
     b = store.write_bucketed(spark.range(500).toDF("listing_id"), "bucketed_b", scratch_path(spark, "b"), "listing_id", 4)
