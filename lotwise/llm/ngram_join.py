@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm import shingles
-from lotwise.llm.common import stored
+from lotwise.llm.common import stored, text_slices
 from lotwise.llm.components import components
 
 #: bits of a counter's number; 4 bytes each while counting, one byte each when sent to the tasks
@@ -37,13 +37,13 @@ COUNTER_BITS = 20
 SLICE_BITS = 12
 #: bits of the filter that keeps unneeded sets from being handed over; a matter of volume only
 FILTER_BITS = 24
-TEXTS_AT_ONCE = 500
+#: bytes of text that are hashed at once; the text that passes them is the last
+TEXT_BYTES = 1 << 20
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            yield batch.slice(start, TEXTS_AT_ONCE)
+        yield from text_slices(batch, column, TEXT_BYTES)
 
 
 def shingle_counters(texts: DataFrame, words: int) -> np.ndarray:
@@ -56,7 +56,7 @@ def shingle_counters(texts: DataFrame, words: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, 0):
             found = shingles.rolled(batch.column(0).to_pylist(), words)
             total += np.bincount((found >> shift).astype(np.int64), minlength=len(total))
         rows = total.reshape(slices, -1)
@@ -96,7 +96,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, key: str, text: str) ->
     shift = np.uint64(64 - COUNTER_BITS)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, 1):
             nodes, sizes, kept = [], [], []
             for found in shingles.shingle_sets(batch.column(1).to_pylist(), words):
                 n = len(found)
@@ -154,7 +154,7 @@ def whole_sets(docs: DataFrame, needed: DataFrame, words: int, text: str) -> Dat
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()  # copies meet again after the shuffle; within a task one is enough
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, 0):
             found = [s for s in shingles.shingle_sets(batch.column(0).to_pylist(), words) if len(s)]
             nodes = np.array([_node(s) for s in found], np.int64)
             place = _slot(nodes)

@@ -107,6 +107,7 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apply_settings(spark)  # texts go to Python in batches bounded by bytes
     docs = table(spark, sf_dir, "documents")
     return ngram_join.with_smallest_key(ngram_join.linked_classes(docs, words=4, percent=85))
 

@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.llm import components, ngram_join, shingles
+from lotwise.llm import components, ngram_join, queries, shingles
 
 
 def plain_set(text, words):
@@ -107,3 +108,24 @@ def test_hot_lists_give_few_pairs(spark):
     found = ngram_join.linked_classes(docs.unionByName(docs.select((F.col("doc_id") + 1000).alias("doc_id"), "text")), 4, 80)
     assert found.select("component").distinct().count() == 1
     assert np.isclose(found.count(), 800)
+
+
+def test_long_texts_are_hashed_in_slices_of_bounded_bytes():
+    texts = ["a b c d " * 25_000] * 50 + ["e"] * 2_000 + [None, "f g " * 600_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["key", "text"])
+    found = [chunk.column(1).to_pylist() for chunk in ngram_join._chunks([batch], 1)]
+    assert [t for chunk in found for t in chunk] == texts
+    # no text is cut: what stands before a slice's last text is bounded
+    assert all(sum(len(t or "") for t in chunk[:-1]) <= ngram_join.TEXT_BYTES for chunk in found)
+
+
+def test_texts_for_python_come_in_batches_bounded_by_bytes(spark, tmp_path):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.createDataFrame([(1, "a b c d e")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set(setting, "64m")
+    try:
+        queries.op8_ngram_join(spark, str(tmp_path))
+        assert spark.conf.get(setting) == "8m"
+    finally:
+        spark.conf.set(setting, before)
