@@ -13,19 +13,28 @@ from pyspark.sql import functions as F
 from lotwise.session import spread
 
 US_ORDER = ("row_pos", "row_sub")
+#: line items that a task joins and widens to listings; as keys they are some ten bytes, as listings about a thousand
+ROWS_PER_TASK = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, part and places; only the columns the views need.
+def _joined(spark: SparkSession, sf_dir: str, suppliers: DataFrame | None = None) -> DataFrame:
+    """Line items with their order, part and places, and their supplier if wanted; only the columns the views need.
 
     Orders meet their part and places first: there are several line items to an order, and they move once, as keys.
+    Spark would merge the partitions of such small rows by their bytes, to a few tasks of millions of listings that
+    spill as soon as they are wide; so the number of partitions follows the number of line items.
     """
     t = lambda name: table(spark, sf_dir, name)
-    items = spread(t("lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS ln", "l_partkey", "l_suppkey"))
+    items = t("lineitem").selectExpr("l_orderkey AS k", "l_linenumber AS ln", "l_partkey", "l_suppkey")
+    tasks = -(-items.count() // ROWS_PER_TASK)
+    many = tasks > spark.sparkContext.defaultParallelism
+    items = items if many else spread(items)
+    if suppliers is not None:
+        items = items.join(suppliers, "l_suppkey")
     orders = t("orders").selectExpr(
         "o_orderkey AS k", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
@@ -38,7 +47,7 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(parts, "pk")
         .join(customers.join(nations, "c_nationkey"), "o_custkey")
     )
-    return items.join(placed, "k")
+    return items.repartition(tasks, "k").join(placed.repartition(tasks, "k"), "k") if many else items.join(placed, "k")
 
 
 _GROUPED = "replace(format_number({0}, 0), ',', '.')"
@@ -88,7 +97,7 @@ def raw_us(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     price = "(k * 977 + (ln % 2) * 50) % 310000"
     suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_name")
-    return _joined(spark, sf_dir).join(suppliers, "l_suppkey").selectExpr(
+    return _joined(spark, sf_dir, suppliers).selectExpr(
         "k * 8 + ln AS row_pos",
         "l_partkey * 1000000 + l_suppkey AS row_sub",
         "concat('us-', CAST(k AS STRING), '-', CAST(ln AS STRING), '-', CAST(l_partkey AS STRING), '-', "

@@ -12,7 +12,7 @@ from lotwise.operators import loading, market
 from lotwise.plans import ingest, registry
 from lotwise.plans.workspace import workspace
 from lotwise.session import scratch_path
-from lotwise.sources import raw, store
+from lotwise.sources import driver_views, raw, store
 from lotwise.streaming import append
 
 
@@ -258,3 +258,18 @@ def test_copies_in_later_files_are_dropped_as_in_one_batch(spark, tmp_path, mark
     found = spark.read.parquet(root)
     assert sorted(map(str, found.select(*shown).collect())) == sorted(map(str, expected.select(*shown).collect()))
     assert found.groupBy("piece").count().count() >= 2
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_tasks_that_widen_line_items_grow_with_them(spark, monkeypatch, threshold):
+    sf, name = "/root/testdata/sf0.001", "spark.sql.autoBroadcastJoinThreshold"
+    rows = lambda: sorted(driver_views.raw_us(spark, sf).select("row_pos", "row_sub", "retailListing_dealer", "vehicle_vin").collect())
+    whole, before = rows(), spark.conf.get(name)
+    monkeypatch.setattr(driver_views, "ROWS_PER_TASK", 500, raising=False)
+    spark.conf.set(name, threshold)
+    try:
+        tasks = driver_views.raw_us(spark, sf).rdd.getNumPartitions()
+        assert tasks == -(-len(whole) // 500) > spark.sparkContext.defaultParallelism
+        assert rows() == whole
+    finally:
+        spark.conf.set(name, before)
