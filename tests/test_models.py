@@ -122,6 +122,18 @@ def test_staged_search_equals_plain_cross_validation(rows):
     assert [c.error for c in found] == pytest.approx(plain.avgMetrics)
 
 
+def test_levels_store_no_node_ids(rows, monkeypatch):
+    """The trees are the same whether rows store their node or walk to it; a search and its refit walk."""
+    used = []
+    whole = T.search
+    monkeypatch.setattr(T, "search", lambda train, booster, *rest: used.append((train, booster)) or whole(train, booster, *rest))
+    model, _ = T.fit_price_model(rows, "DE", {"maxDepth": (3,), "stepSize": (0.3,), "maxIter": (2,)})
+    train, booster = used[0]
+    assert not booster.getCacheNodeIds() and not model.regressor.getCacheNodeIds()
+    stored = booster.fit(train, {booster.maxDepth: 3, booster.stepSize: 0.3, booster.maxIter: 2, booster.cacheNodeIds: True})
+    assert stored.toDebugString.split("\n")[1:] == model.regressor.toDebugString.split("\n")[1:]
+
+
 def test_training_on_nothing_stops(rows):
     with pytest.raises(ValueError, match="no row is left"):
         T.fit_price_model(rows.where("listing_id < 0"), "DE", {"maxIter": (1,)})
