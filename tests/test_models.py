@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import itertools
 import random
+import threading
+import time
 from math import factorial
 
 import numpy as np
@@ -134,6 +136,41 @@ def test_levels_store_no_node_ids(rows, monkeypatch):
     assert stored.toDebugString.split("\n")[1:] == model.regressor.toDebugString.split("\n")[1:]
 
 
+def test_training_tasks_follow_the_rows(rows, monkeypatch):
+    """Not their bytes: 200 rows arrive in one partition and are trained in five tasks."""
+    class Found(Exception):
+        pass
+
+    def stop(train, *rest):
+        raise Found(train.rdd.getNumPartitions(), train.count())
+
+    monkeypatch.setattr(T, "search", stop)
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 50)
+    with pytest.raises(Found) as found:
+        T.fit_price_model(rows.coalesce(1), "DE")
+    assert found.value.args == (5, 160)
+
+
+@pytest.mark.parametrize("tasks, most", [(1, 4), (4, 2), (8, 1), (32, 1)])
+def test_fits_of_many_tasks_do_not_run_side_by_side(rows, tasks, most):
+    """Each fit holds its rows in bins, so a table that fills the four cores has one or two copies, not one per fit."""
+    lock, running, seen = threading.Lock(), [0], []
+
+    class Booster(GBTRegressor):
+        def fit(self, train, params=None):
+            with lock:
+                running[0] += 1
+                seen.append(running[0])
+            time.sleep(0.2)
+            with lock:
+                running[0] -= 1
+            return type("Fitted", (), {"evaluateEachIteration": lambda self, held, loss: [1.0]})()
+
+    train = rows.withColumn("fold", F.col("listing_id") % 3).repartition(tasks)
+    found = T.search(train, Booster(labelCol="price"), {"maxDepth": (1, 2, 3), "maxIter": (1,)})
+    assert len(found) == 3 and len(seen) == 9 and max(seen) == most
+
+
 def test_training_on_nothing_stops(rows):
     with pytest.raises(ValueError, match="no row is left"):
         T.fit_price_model(rows.where("listing_id < 0"), "DE", {"maxIter": (1,)})
