@@ -239,6 +239,22 @@ def test_contributions_equal_brute_force(depth, features, count):
         assert trees.base + phi.sum() == pytest.approx(output)
 
 
+def test_rows_on_the_same_sides_are_worked_on_once(monkeypatch):
+    """Forty rows at three positions among the cuts (below all, above all, in no range) cost three rows of work."""
+    rng = random.Random(3)
+    pieces = [X.flat_trees([(grown(rng, 4, 3, 500), 1.0) for _ in range(3)]) for _ in range(2)]
+    cuts = sorted(c for p in pieces for part in (p.low, p.high) for c in part.tolist() if np.isfinite(c))
+    kinds = np.array([[cuts[0] - 1, 0.5, 0.5], [cuts[0], 0.5, 0.5], [cuts[-1] + 1, 0.5, 0.5], [np.nan, 0.5, 0.5], [-np.inf, 0.5, 0.5]])
+    x = kinds[[i % 5 for i in range(40)]]
+    x[::10, 0] -= 1  # still below every cut
+    plain = sum(X._block_contributions(p, x) for p in pieces)
+    seen, work = [], X._block_contributions
+    monkeypatch.setattr(X, "_block_contributions", lambda trees, rows: seen.append(len(rows)) or work(trees, rows))
+    assert np.array_equal(X.tree_contributions(pieces, x), plain)
+    assert seen == [3, 3]
+    assert X.tree_contributions([], x).tolist() == np.zeros(x.shape).tolist() and X.tree_contributions(pieces, x[:0]).shape == (0, 3)
+
+
 def test_pieces_and_blocks_add_up_to_the_same(spark, fitted, rows, monkeypatch):
     model, _ = fitted
     x = np.array([r["features"].toArray() for r in S.predict_prices(model, rows).collect()])
