@@ -45,14 +45,18 @@ def read_document(text: str | None) -> object:
 
 
 def _leaves(document: dict) -> Iterator[tuple[str, str]]:
-    """Leaves in document order, at any depth."""
+    """Leaves in document order, at any depth. Objects with one member are used up: most levels of deep documents."""
     waiting: list[tuple[object, object]] = [("", document)]
     while waiting:
         name, node = waiting.pop()
-        if isinstance(node, dict):
-            waiting.extend(reversed(node.items()))
-        elif not isinstance(node, list):
-            yield str(name).lower().strip(), str(node).lower().strip()
+        while isinstance(node, dict):
+            if len(node) != 1:
+                waiting.extend(reversed(node.items()))
+                break
+            name, node = node.popitem()
+        else:
+            if not isinstance(node, list):
+                yield str(name).lower().strip(), str(node).lower().strip()
 
 
 def leaf_pairs_of(text: str | None) -> list[dict[str, str]] | None:

@@ -52,6 +52,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def dealt(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """The rows dealt evenly over tasks of ``rows_per_task``, at least one task a core: for work that costs much per row.
+
+    A file may have fewer row groups than splits, and splits without one are empty, so their number tells nothing.
+    """
+    tasks = -(-df.count() // rows_per_task)
+    return df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
