@@ -35,9 +35,12 @@ def write_cleaned(df: DataFrame, input_path: str, out_dir: str, fmt: str = "parq
     return path
 
 
-def append_csv(df: DataFrame, path: str) -> None:
-    """Append rows; every part file has its own header, so readers see one header per file."""
-    df.write.mode("append").options(**_CSV).csv(path)
+def append_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Append rows; every part file has its own header, so readers see one header per file.
+
+    Raw listings are wide text. Files are packed; readers take whole files anyway, since fields may have line breaks.
+    """
+    df.write.mode("append").options(**_CSV, compression=compression).csv(path)
 
 
 def write_ragged_csv(frames: Sequence[DataFrame], path: str) -> None:
